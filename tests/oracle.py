@@ -1,0 +1,31 @@
+"""Side-by-side run of a registered query and its SQL form on the same tables."""
+
+from __future__ import annotations
+
+import glob
+import os
+
+import duckdb
+
+
+def duck(sf_dir: str):
+    con = duckdb.connect()
+    for path in sorted(glob.glob(f"{sf_dir}/*.parquet")):
+        name = os.path.basename(path)[: -len(".parquet")]
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+    return con
+
+
+def rows_of(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted((tuple(r[i] for i in order) for r in rows), key=repr)
+
+
+def compare(spark, query, sql: str, sf_dir: str, con=None) -> tuple[list, list, list, list]:
+    """Columns and sorted rows of both sides."""
+    df = query(spark, sf_dir)
+    left = rows_of(df.columns, [tuple(r) for r in df.collect()])
+    result = (con or duck(sf_dir)).execute(sql)
+    names = [c[0] for c in result.description]
+    right = rows_of(names, result.fetchall())
+    return sorted(df.columns), sorted(names), left, right
