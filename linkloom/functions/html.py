@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from linkloom.functions.arrow import html_unescape, plain_texts
+from linkloom.functions.arrow import html_unescape
 from linkloom.functions.strings import WHITESPACE, space_pieces, strip
 
 # Tag groups (fixed values, from the HTML standard).
@@ -37,10 +37,10 @@ ANY_TAG = r"</?[A-Za-z][^>]*>|<[!?][^>]*>"
 
 def block_pattern(tags, comments: bool = True) -> str:
     """Whole elements of the named kinds, and comments, leftmost first."""
-    parts = [rf"<{t}(?:\s[^>]*)?>.*?(?:</{t}\s*>|\z)" for t in tags]
+    parts = [rf"{t}(?:\s[^>]*)?>.*?(?:</{t}\s*>|\z)" for t in tags]
     if comments:
-        parts.insert(0, r"<!--.*?(?:-->|\z)")
-    return "(?is)" + "|".join(parts)
+        parts.insert(0, r"!--.*?(?:-->|\z)")
+    return f"(?is)<(?:{'|'.join(parts)})"
 
 
 def tag_pattern(tags) -> str:
@@ -72,7 +72,7 @@ def raw_paragraphs(html: Column) -> Column:
     behind and the paragraph drops out like any other mixed content.
     """
     pieces = F.split(F.regexp_replace(html, HIDDEN, "<br>"), P_OPEN, -1)
-    bodies = F.slice(pieces, F.lit(2), F.size(pieces))
+    bodies = F.slice(pieces, 2, 1 << 30)
     leaves = F.transform(
         bodies,
         lambda p, i: F.struct(
@@ -82,15 +82,6 @@ def raw_paragraphs(html: Column) -> Column:
     return F.filter(leaves, lambda x: x["text"] != "")
 
 
-def normal_paragraphs(paragraphs: Column, normalize: bool = True) -> Column:
-    """Unescape and NFKD-normalize the texts, with one Arrow call per page that needs any."""
-    texts = plain_texts(F.transform(paragraphs, lambda x: x["text"]), normalize)
-    return F.transform(
-        paragraphs,
-        lambda x, i: F.struct(x["pos"].alias("pos"), F.get(texts, i).alias("text")),
-    )
-
-
 def long_paragraphs(paragraphs: Column, min_words: int = 4) -> Column:
     """Drop paragraphs under ``min_words`` pieces, then strip the rest."""
     kept = F.filter(paragraphs, lambda x: space_pieces(x["text"]) >= min_words)
@@ -120,7 +111,7 @@ def visible_text(html: Column) -> Column:
     text = html_unescape(F.regexp_replace(lines, ANY_TAG, ""))
     inner = WHITESPACE.replace(r"\s", r" \t\r\f\x0b")
     text = F.regexp_replace(text, f"[{inner}]+", " ")
-    return F.regexp_replace(F.regexp_replace(text, "[ \n]*\n[ \n]*", "\n\n"), r"^[ \n]+|[ \n]+\z", "")
+    return F.btrim(F.regexp_replace(text, "[ \n]*\n[ \n]*", "\n\n"), F.lit(" \n"))
 
 
 def cleaned_html(html: Column) -> Column:
@@ -129,7 +120,7 @@ def cleaned_html(html: Column) -> Column:
     text = F.regexp_replace(text, tag_pattern((*KILLED_TAGS, *UNWRAPPED_TAGS)), "")
     text = F.regexp_replace(text, r"<[!?][^>]*>", "")
     text = F.when(text.rlike(EVENT_ATTRIBUTE), _without_handlers(text)).otherwise(text)
-    return F.regexp_replace(F.regexp_replace(text, SPACE_RUN, " "), r"^ | \z", "")
+    return F.btrim(F.regexp_replace(text, SPACE_RUN, " "), F.lit(" "))
 
 
 def _without_handlers(html: Column) -> Column:

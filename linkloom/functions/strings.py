@@ -8,13 +8,18 @@ from pyspark.sql import functions as F
 # Characters Python's str.split() and str.strip() take as white space (fixed values).
 WHITESPACE = r"\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
+_SPACE_CHARACTERS = (
+    " \t\n\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 # Month label at the start of a file's base name (fixed value).
 MONTH_PATTERN = r"^(RS_.*2\d{3}-\d{2})"
 
 
 def strip(text: Column) -> Column:
     """Remove white space at both ends, Unicode spaces included."""
-    return F.regexp_replace(text, f"^[{WHITESPACE}]+|[{WHITESPACE}]+\\z", "")
+    return F.btrim(text, F.lit(_SPACE_CHARACTERS))
 
 
 def is_blank(text: Column) -> Column:

@@ -6,10 +6,11 @@ turned into text before anything is shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions import html as H
+from linkloom.functions.arrow import plain_texts
 from linkloom.functions.strings import is_blank, space_pieces, word_count
 
 
@@ -19,8 +20,26 @@ def nonempty_text(df: DataFrame, text: str = "text", strip: bool = True) -> Data
     return df.filter(keep)
 
 
-def paragraph_array(html: Column, min_words: int = 4, normalize: bool = True) -> Column:
-    return H.long_paragraphs(H.normal_paragraphs(H.raw_paragraphs(html), normalize), min_words)
+def with_paragraphs(
+    pages: DataFrame,
+    min_words: int = 4,
+    normalize: bool = True,
+    html: str = "html",
+    name: str = "paragraphs",
+) -> DataFrame:
+    """Replace ``html`` by its paragraphs, ARRAY<STRUCT<pos, text>>.
+
+    The strings are found in the JVM, unescaped and NFKD-normalized with one Arrow call per
+    page that needs any, then filtered by words and stripped.
+    """
+    rest = [c for c in pages.columns if c != html]
+    found = pages.select(*rest, H.raw_paragraphs(F.col(html)).alias("_raw"))
+    plain = found.withColumn("_plain", plain_texts(F.col("_raw.text"), normalize))
+    both = F.zip_with(
+        "_raw", "_plain", lambda r, t: F.struct(r["pos"].alias("pos"), t.alias("text"))
+    )
+    normal = plain.select(*rest, both.alias("_p"))
+    return normal.select(*rest, H.long_paragraphs(F.col("_p"), min_words).alias(name))
 
 
 def extract_paragraphs(
@@ -28,9 +47,8 @@ def extract_paragraphs(
 ) -> DataFrame:
     """One row per paragraph: the page's columns without ``html``, ``pos`` and ``text``."""
     rest = [c for c in pages.columns if c != html]
-    return pages.select(
-        *rest, F.inline(paragraph_array(F.col(html), min_words, normalize))
-    )
+    found = with_paragraphs(pages, min_words, normalize, html, "_p")
+    return found.select(*rest, F.inline("_p"))
 
 
 def min_paragraph_words(df: DataFrame, n: int = 4, text: str = "text") -> DataFrame:
@@ -40,7 +58,7 @@ def min_paragraph_words(df: DataFrame, n: int = 4, text: str = "text") -> DataFr
 def paragraph_text(pages: DataFrame, html: str = "html") -> DataFrame:
     """Paragraph mode: ``text`` is all paragraphs joined by spaces, with its word count."""
     rest = [c for c in pages.columns if c != html]
-    found = pages.select(*rest, paragraph_array(F.col(html)).alias("_p"))
+    found = with_paragraphs(pages, html=html, name="_p")
     return found.select(
         *rest,
         H.join_paragraphs(F.col("_p")).alias("text"),

@@ -65,7 +65,7 @@ def encode_subwords(
     shared = docs.sparkSession.sparkContext.broadcast(_lookup(vocab, merges))
 
     @F.arrow_udf("array<int>")
-    def encode(batch: pa.ListArray) -> pa.ListArray:
+    def encode(batch: pa.Array) -> pa.Array:
         import pyarrow.compute as pc
 
         ids, ranks = shared.value

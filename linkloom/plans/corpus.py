@@ -11,7 +11,7 @@ from linkloom.operators.dedup import dedupe_urls, keep_first, split_unparsable
 from linkloom.functions.urls import with_url_key
 from linkloom.operators.links import good_links, parse_submissions
 from linkloom.operators.numbering import BUCKET_ROWS, assign_chunks
-from linkloom.operators.pages import extract, main_text, nonempty_text, paragraph_array, with_meta
+from linkloom.operators.pages import extract, main_text, nonempty_text, with_meta, with_paragraphs
 from linkloom.operators.policy import DenyPolicy
 from linkloom.operators.state import pending_members, pending_urls
 from linkloom.operators.tokens import COMBINE, FILES_PER_BATCH, MIN_LENGTH, pack_tokens
@@ -41,10 +41,8 @@ def page_corpus(pages: DataFrame, policy: DenyPolicy = DenyPolicy()) -> DataFram
     Pages are vetted and counted where they are read, and only the counts go through the
     shuffle that dedups URLs: ``html`` never leaves its task.
     """
-    vetted = good_links(pages, policy)
-    counted = vetted.select(
-        "page_id", "url", paragraph_array(F.col("html")).alias("_p")
-    ).select(
+    vetted = good_links(pages.select("page_id", "url", "html"), policy)
+    counted = with_paragraphs(vetted, name="_p").select(
         "page_id",
         "url",
         F.size("_p").cast("bigint").alias("n_paragraphs"),
