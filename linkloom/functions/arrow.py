@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import lru_cache
+from html import unescape
 from html.entities import html5
 
 import pyarrow as pa
@@ -22,26 +23,49 @@ def _string_udf(per_value):
     return run.asNondeterministic()
 
 
+# Entities that are replaced without leaving the JVM; the ampersand goes last (fixed values).
+_COMMON = (
+    "lt", "gt", "quot", "apos", "#39", "nbsp", "copy", "middot", "hellip", "mdash", "ndash",
+    "lsquo", "rsquo", "ldquo", "rdquo", "amp",
+)
+
+
 @lru_cache(maxsize=1)
-def _entity_pattern() -> str:
+def _other_entity() -> str:
+    """An entity, or its beginning, that is not one of the common ones."""
     # Names that HTML lets stand without a semicolon, from the standard library's table.
     bare = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
-    return "&(?:#[0-9xX]|[A-Za-z][A-Za-z0-9]*;|" + "|".join(bare) + ")"
+    return (
+        f"&(?!(?:{'|'.join(_COMMON)});)"
+        f"(?:#[0-9xX]|[A-Za-z][A-Za-z0-9]*;|{'|'.join(bare)})"
+    )
 
 
-def _touched(text: Column) -> Column:
-    return text.contains("&") & text.rlike(_entity_pattern())
+def _common_replaced(text: Column) -> Column:
+    for name in _COMMON:
+        entity = f"&{name};"
+        text = F.replace(text, F.lit(entity), F.lit(unescape(entity)))
+    return text
 
 
 def html_unescape(text: Column) -> Column:
-    """Full HTML unescape.  Rows that hold nothing to unescape are not sent to Python."""
+    """Full HTML unescape.  Texts with common entities only are done in the JVM.
+
+    The operand is used several times: hand in a column, not a costly expression.
+    """
 
-    def unescape(value):
+    def full(value):
         from html import unescape as f
 
         return f(value)
 
-    return F.coalesce(_string_udf(unescape)(F.when(_touched(text), text)), text)
+    has_any = text.contains("&")
+    has_other = has_any & text.rlike(_other_entity())
+    return F.coalesce(
+        _string_udf(full)(F.when(has_other, text)),
+        F.when(has_any, _common_replaced(text)),
+        text,
+    )
 
 
 def nfkd(text: Column) -> Column:
@@ -74,6 +98,7 @@ def plain_texts(texts: Column, normalize: bool = True) -> Column:
         )
 
     def needs(text):
-        return _touched(text) | text.rlike(r"[^\x00-\x7f]") if normalize else _touched(text)
+        escaped = text.contains("&")
+        return escaped | text.rlike(r"[^\x00-\x7f]") if normalize else escaped
 
     return F.coalesce(run.asNondeterministic()(F.when(F.exists(texts, needs), texts)), texts)

@@ -1,6 +1,6 @@
 """HTML rules as regular expressions that run inside the JVM.
 
-Patterns use only what Java and RE2 share, so that the same text serves the SQL checks.  They
+Tag patterns use only what Java and RE2 share, so that the same text serves the SQL checks.  They
 scan a page in one pass: blocks that are never closed run to the end of the page instead of
 being retried, and no group repeats with a choice inside.
 """
@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from linkloom.functions.arrow import html_unescape
-from linkloom.functions.strings import WHITESPACE, space_pieces, strip
+from linkloom.functions.strings import SPACE, UNICODE, space_pieces, strip
 
 # Tag groups (fixed values, from the HTML standard).
 INLINE_TAGS = (
@@ -31,7 +30,11 @@ KILLED_BLOCKS = ("script", "style", "iframe", "button", "select", "textarea")
 KILLED_TAGS = ("link", "meta", "embed", "input", "frame")
 UNWRAPPED_TAGS = ("html", "head", "title", "form", "blink", "marquee")
 
-SPACE_RUN = f"[{WHITESPACE}]+"
+SPACE_RUN = f"{UNICODE}[{SPACE}]+"
+# The same without the newline.
+INLINE_SPACE_RUN = f"{UNICODE}[{SPACE}&&[^\n]]+"
+# A visible character at the start or behind a space or semicolon, so outside any entity.
+SURELY_VISIBLE = f"{UNICODE}(?:^|[;{SPACE}])[^&;{SPACE}]"
 ANY_TAG = r"</?[A-Za-z][^>]*>|<[!?][^>]*>"
 
 
@@ -101,16 +104,17 @@ def join_paragraphs(paragraphs: Column) -> Column:
     return F.array_join(F.transform(paragraphs, lambda x: x["text"]), " ")
 
 
-def visible_text(html: Column) -> Column:
-    """Main text by a stated rule: no scripts, boilerplate blocks or tags; blocks become lines.
-
-    Lines are trimmed, blank ones dropped, and paragraphs are parted by an empty line.
-    """
+def body_lines(html: Column) -> Column:
+    """Escaped text of a page: boilerplate blocks dropped, block tags to newlines, tags dropped."""
     body = F.regexp_replace(html, block_pattern(("script", "style", *BOILERPLATE_TAGS)), "\n")
     lines = F.regexp_replace(body, tag_pattern((*BLOCK_TAGS, "br")), "\n")
-    text = html_unescape(F.regexp_replace(lines, ANY_TAG, ""))
-    inner = WHITESPACE.replace(r"\s", r" \t\r\f\x0b")
-    text = F.regexp_replace(text, f"[{inner}]+", " ")
+    return F.regexp_replace(lines, ANY_TAG, "")
+
+
+def squeezed(text: Column) -> Column:
+    """Runs of white space to one blank; lines trimmed, blank ones dropped, the rest parted by
+    an empty line."""
+    text = F.regexp_replace(text, INLINE_SPACE_RUN, " ")
     return F.btrim(F.regexp_replace(text, "[ \n]*\n[ \n]*", "\n\n"), F.lit(" \n"))
 
 

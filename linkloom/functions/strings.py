@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Characters Python's str.split() and str.strip() take as white space (fixed values).
-WHITESPACE = r"\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-
+# Characters Python's str.split() and str.strip() take as white space (fixed values): as the
+# inside of a Java character class, to be used under the Unicode flag, and spelled out.
+UNICODE = "(?U)"
+SPACE = r"\s\x1c-\x1f"
 _SPACE_CHARACTERS = (
     " \t\n\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
     "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -24,12 +25,12 @@ def strip(text: Column) -> Column:
 
 def is_blank(text: Column) -> Column:
     """True for null, empty or white-space-only text."""
-    return ~F.coalesce(text.rlike(f"[^{WHITESPACE}]"), F.lit(False))
+    return ~F.coalesce(text.rlike(f"{UNICODE}[^{SPACE}]"), F.lit(False))
 
 
 def word_count(text: Column) -> Column:
     """Number of white-space separated words."""
-    return F.regexp_count(text, F.lit(f"[^{WHITESPACE}]+")).cast("bigint")
+    return F.regexp_count(text, F.lit(f"{UNICODE}[^{SPACE}]+")).cast("bigint")
 
 
 def space_pieces(text: Column) -> Column:
@@ -90,29 +91,22 @@ def meta_json(meta: Column) -> Column:
 
 def fold_newlines(text: Column) -> Column:
     """Carriage returns read as newlines, as a text-mode reader does."""
-    return F.regexp_replace(text, r"\r\n?", "\n")
+    folded = F.regexp_replace(text, r"\r\n?", "\n")
+    return F.when(text.contains("\r"), folded).otherwise(text)
 
 
 def lines_of(text: Column) -> Column:
     """ARRAY<STRUCT<line_no, line, kept>> of a text's lines.
 
-    A line counts its own newline, and is kept if longer than one character; so a last
-    line that has no newline needs two.  The empty piece after a final newline is no line.
+    A line counts its own newline, and is kept if longer than one character; so a last line
+    that has no newline needs two.  Nothing after a final newline is no line.
     """
-    pieces = F.split(fold_newlines(text), "\n", -1)
-    last = F.size(pieces) - 1
-    numbered = F.transform(
-        pieces,
-        lambda p, i: F.struct(
-            i.cast("bigint").alias("line_no"),
-            p.alias("line"),
-            (F.length(p) + F.when(i < last, 1).otherwise(0)).alias("width"),
-        ),
-    )
-    real = F.filter(numbered, lambda x: x["width"] > 0)
+    whole = F.regexp_extract_all(fold_newlines(text), F.lit("[^\n]*+\n|[^\n]++"), F.lit(0))
     return F.transform(
-        real,
-        lambda x: F.struct(
-            x["line_no"].alias("line_no"), x["line"].alias("line"), (x["width"] > 1).alias("kept")
+        whole,
+        lambda x, i: F.struct(
+            i.cast("bigint").alias("line_no"),
+            F.rtrim(x, F.lit("\n")).alias("line"),
+            (F.length(x) > 1).alias("kept"),
         ),
     )

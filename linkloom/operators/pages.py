@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions import html as H
-from linkloom.functions.arrow import plain_texts
+from linkloom.functions.arrow import html_unescape, plain_texts
 from linkloom.functions.strings import is_blank, space_pieces, word_count
 
 
@@ -66,21 +66,32 @@ def paragraph_text(pages: DataFrame, html: str = "html") -> DataFrame:
     )
 
 
+def with_visible_text(pages: DataFrame, html: str = "html", name: str = "text") -> DataFrame:
+    """Add the main text by a stated rule: no scripts, boilerplate blocks or tags, entities
+    unescaped; blocks become lines that are parted by an empty line."""
+    body = pages.withColumn("_body", H.body_lines(F.col(html)))
+    plain = body.withColumn("_plain", html_unescape(F.col("_body")))
+    return plain.withColumn(name, H.squeezed(F.col("_plain"))).drop("_body", "_plain")
+
+
 def main_text(pages: DataFrame, html: str = "html") -> DataFrame:
     """Main-text mode: visible text without boilerplate, with its word count."""
-    rest = [c for c in pages.columns if c != html]
-    return pages.select(*rest, H.visible_text(F.col(html)).alias("text")).withColumn(
-        "word_count", word_count(F.col("text"))
-    )
+    found = with_visible_text(pages, html).drop(html)
+    return found.withColumn("word_count", word_count(F.col("text")))
 
 
 def clean_html(pages: DataFrame, html: str = "html") -> DataFrame:
     """Raw mode: cleaned HTML of the pages whose main text is not empty; no word count."""
     rest = [c for c in pages.columns if c != html]
-    return (
-        pages.filter(F.length(H.visible_text(F.col(html))) > 0)
-        .select(*rest, H.cleaned_html(F.col(html)).alias("text"))
-        .withColumn("word_count", F.lit(None).cast("bigint"))
+    tagless = pages.withColumn("_body", H.body_lines(F.col(html)))
+    # A character that no entity can hold settles it; otherwise entities are looked into.
+    sure = F.coalesce(F.col("_body").rlike(H.SURELY_VISIBLE), F.lit(False))
+    looked = tagless.withColumn("_sure", sure).withColumn(
+        "_plain", html_unescape(F.when(~F.col("_sure"), F.col("_body")))
+    )
+    kept = looked.filter(F.col("_sure") | ~is_blank(F.col("_plain")))
+    return kept.select(*rest, H.cleaned_html(F.col(html)).alias("text")).withColumn(
+        "word_count", F.lit(None).cast("bigint")
     )
 
 

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Domains that are not taken (fixed values).
 DENIED_DOMAINS = tuple(
@@ -48,11 +48,7 @@ class DenyPolicy:
 
 def policy_table(spark: SparkSession, policy: DenyPolicy = DenyPolicy()) -> DataFrame:
     """The domain part as a table ``(pattern, match_kind)``."""
-    rows = [(d, "registered") for d in policy.domains] + [(h, "host") for h in policy.hosts]
-    return spark.range(1).select(
-        F.inline(
-            F.array(
-                *[F.struct(F.lit(p).alias("pattern"), F.lit(k).alias("match_kind")) for p, k in rows]
-            )
-        )
+    kinds = ["registered"] * len(policy.domains) + ["host"] * len(policy.hosts)
+    return spark.createDataFrame(
+        pa.table({"pattern": [*policy.domains, *policy.hosts], "match_kind": kinds})
     )

@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 
 from linkloom.functions.strings import lines_of
 from linkloom.operators.numbering import batch_files
-from linkloom.session import has_at_most
 
 # A word, or one mark that is neither letter, digit nor space (rule of this library).
 WORD = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
@@ -23,6 +22,8 @@ COMBINE = 100_000_000
 FILES_PER_BATCH = 10_000
 
 VOCAB_ROWS = 1_000_000
+# Words a task remembers over its batches, and the longest it remembers.
+CACHED_WORDS, CACHED_LENGTH = 200_000, 64
 
 
 def nonblank_lines(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -44,12 +45,12 @@ def tokenize_words(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _lookup(vocab: DataFrame, merges: DataFrame) -> tuple[dict, dict]:
-    """Both tables as dictionaries, after a size check."""
-    if not (has_at_most(vocab, VOCAB_ROWS) and has_at_most(merges, VOCAB_ROWS)):
+    """Both tables as dictionaries; tables beyond ``VOCAB_ROWS`` are refused, not collected."""
+    tokens = vocab.select("token", "id").limit(VOCAB_ROWS + 1).collect()
+    pairs = merges.select("left", "right", "rank").limit(VOCAB_ROWS + 1).collect()
+    if max(len(tokens), len(pairs)) > VOCAB_ROWS:
         raise ValueError(f"vocabulary and merges may hold {VOCAB_ROWS} rows each")
-    ids = {r.token: r.id for r in vocab.select("token", "id").collect()}
-    ranks = {(r.left, r.right): r.rank for r in merges.select("left", "right", "rank").collect()}
-    return ids, ranks
+    return {r.token: r.id for r in tokens}, {(r.left, r.right): r.rank for r in pairs}
 
 
 def encode_subwords(
@@ -63,6 +64,7 @@ def encode_subwords(
     words over batches.  Symbols without an id are left out.
     """
     shared = docs.sparkSession.sparkContext.broadcast(_lookup(vocab, merges))
+    known: dict[str, list[int]] = {}
 
     @F.arrow_udf("array<int>")
     def encode(batch: pa.Array) -> pa.Array:
@@ -73,8 +75,13 @@ def encode_subwords(
         words = batch.flatten().dictionary_encode()
         per_word = []
         for word in words.dictionary.to_pylist():
-            symbols = merge_symbols([alphabet[b] for b in word.encode("utf-8")], ranks)
-            per_word.append([ids[s] for s in symbols if s in ids])
+            code = known.get(word)
+            if code is None:
+                symbols = merge_symbols([alphabet[b] for b in word.encode("utf-8")], ranks)
+                code = [ids[s] for s in symbols if s in ids]
+                if len(known) < CACHED_WORDS and len(word) <= CACHED_LENGTH:
+                    known[word] = code
+            per_word.append(code)
         coded = pa.array(per_word, pa.list_(pa.int32())).take(words.indices)
         # Ends of the documents, first in words and then in ids.
         word_ends = pc.cumulative_sum(pc.fill_null(batch.value_lengths(), 0)).to_pylist()

@@ -10,15 +10,18 @@ from linkloom.plans import corpus
 from linkloom.plans.link_queries import table
 from linkloom.plans.page_queries import VISIBLE_SQL, WORDS_SQL
 
-MONTH = F.format_string("RS_2016-%02d", F.col("page_id") % 3 + 1)
 MONTH_SQL = "printf('RS_2016-%02d', page_id % 3 + 1)"
 # Chunks of 20 and number ranges of 50 ids: small, so that many buckets take part.
 SIZE, ROWS = 20, 50
 
 
+def month():
+    return F.format_string("RS_2016-%02d", F.col("page_id") % 3 + 1).alias("month")
+
+
 def url_table(spark, d):
     """URL lists as a table: month, line number and URL; every third id is done."""
-    return table(spark, d, "pages").select(MONTH.alias("month"), F.col("page_id").alias("uid"), "url")
+    return table(spark, d, "pages").select(month(), F.col("page_id").alias("uid"), "url")
 
 
 def done_urls(spark, d):
@@ -28,7 +31,7 @@ def done_urls(spark, d):
 
 def landed(spark, d):
     return table(spark, d, "pages").select(
-        MONTH.alias("month"), F.col("page_id").alias("uid"), "url", "html"
+        month(), F.col("page_id").alias("uid"), "url", "html"
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from linkloom.functions import strings as S
@@ -66,11 +67,11 @@ EOT = 256 + len(MERGES)
 
 
 def encoder_tables(spark):
-    rows = [f"({i}, {quoted(a)}, {quoted(b)})" for i, (a, b) in enumerate(MERGES)]
-    merges = spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t(rank, left, right)")
+    left, right = zip(*MERGES)
+    merges = pa.table({"rank": range(len(MERGES)), "left": left, "right": right})
     symbols = [*K.byte_alphabet(), *(a + b for a, b in MERGES)]
-    pairs = F.array(*[F.struct(F.lit(s).alias("token"), F.lit(i).alias("id")) for i, s in enumerate(symbols)])
-    return spark.range(1).select(F.inline(pairs)), merges
+    vocab = pa.table({"token": symbols, "id": range(len(symbols))})
+    return spark.createDataFrame(vocab), spark.createDataFrame(merges)
 
 
 def encoded(spark, d):
