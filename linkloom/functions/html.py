@@ -1,8 +1,8 @@
 """HTML rules as regular expressions that run inside the JVM.
 
-Tag patterns use only what Java and RE2 share, so that the same text serves the SQL checks.  They
-scan a page in one pass: blocks that are never closed run to the end of the page instead of
-being retried, and no group repeats with a choice inside.
+They scan a page in one pass: a block that is never closed runs to the end of the page instead of
+being retried, and repeated groups are possessive, which also keeps them off the Java stack.
+Without the possessive marks the tag patterns are plain RE2, for the SQL checks.
 """
 
 from __future__ import annotations
@@ -30,17 +30,21 @@ KILLED_BLOCKS = ("script", "style", "iframe", "button", "select", "textarea")
 KILLED_TAGS = ("link", "meta", "embed", "input", "frame")
 UNWRAPPED_TAGS = ("html", "head", "title", "form", "blink", "marquee")
 
+# The rest of a tag: quotes count behind an equals sign only, where they may hold < and >.  Each
+# part is possessive, so a tag that is never closed costs no second look.
+ATTRIBUTES = r"""(?:[^<>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+"""
+
 SPACE_RUN = f"{UNICODE}[{SPACE}]+"
 # The same without the newline.
 INLINE_SPACE_RUN = f"{UNICODE}[{SPACE}&&[^\n]]+"
 # A visible character at the start or behind a space or semicolon, so outside any entity.
 SURELY_VISIBLE = f"{UNICODE}(?:^|[;{SPACE}])[^&;{SPACE}]"
-ANY_TAG = r"</?[A-Za-z][^>]*>|<[!?][^>]*>"
+ANY_TAG = rf"</?[A-Za-z]{ATTRIBUTES}>|<[!?][^<>]*>"
 
 
 def block_pattern(tags, comments: bool = True) -> str:
     """Whole elements of the named kinds, and comments, leftmost first."""
-    parts = [rf"{t}(?:\s[^>]*)?>.*?(?:</{t}\s*>|\z)" for t in tags]
+    parts = [rf"{t}(?:\s{ATTRIBUTES})?>.*?(?:</{t}\s*>|\z)" for t in tags]
     if comments:
         parts.insert(0, r"!--.*?(?:-->|\z)")
     return f"(?is)<(?:{'|'.join(parts)})"
@@ -48,24 +52,24 @@ def block_pattern(tags, comments: bool = True) -> str:
 
 def tag_pattern(tags) -> str:
     """Opening, closing and self-closing tags of the named kinds."""
-    return rf"(?i)</?(?:{'|'.join(tags)})(?:[\s/][^>]*)?>"
+    return rf"(?i)</?(?:{'|'.join(tags)})(?:[\s/]{ATTRIBUTES})?>"
 
 
 HIDDEN = block_pattern(("script", "style"))
-P_OPEN = r"(?i)<p(?:\s[^>]*)?>"
+P_OPEN = rf"(?i)<p(?:\s{ATTRIBUTES})?>"
 # One string, perhaps inside one chain of inline tags, up to the next block tag or the end.
 LEAF = (
-    rf"(?i)^(?:<(?:{'|'.join(INLINE_TAGS)})(?:\s[^>]*)?>)*"
+    rf"(?i)^(?:<(?:{'|'.join(INLINE_TAGS)})(?:\s{ATTRIBUTES})?>)*"
     r"([^<]+)"
     rf"(?:</(?:{'|'.join(INLINE_TAGS)})\s*>)*"
-    rf"(?:</?(?:{'|'.join(BLOCK_TAGS)})(?:[\s/][^>]*)?>|\z)"
+    rf"(?:</?(?:{'|'.join(BLOCK_TAGS)})(?:[\s/]{ATTRIBUTES})?>|\z)"
 )
 EVENT_ATTRIBUTE = r"""(?i)\son[a-z]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"']+)"""
 
 # Link pattern of the dump index reader (fixed value): greedy, so the last link of a line.
 GREEDY_LINK = r"""<a\s.*href=["'](\S+)["'][^>]*>\S*<\/a>"""
 # Every link of a page.
-EACH_LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"'>\s]+)["'][^>]*>"""
+EACH_LINK = r"""(?i)<a\s[^<>]*?href\s*=\s*["']([^"'>\s]+)["'][^<>]*>"""
 
 
 def raw_paragraphs(html: Column) -> Column:
@@ -122,7 +126,7 @@ def cleaned_html(html: Column) -> Column:
     """HTML without scripts, styles, comments, embedded parts and event handlers, minified."""
     text = F.regexp_replace(html, block_pattern(KILLED_BLOCKS), "")
     text = F.regexp_replace(text, tag_pattern((*KILLED_TAGS, *UNWRAPPED_TAGS)), "")
-    text = F.regexp_replace(text, r"<[!?][^>]*>", "")
+    text = F.regexp_replace(text, r"<[!?][^<>]*>", "")
     text = F.when(text.rlike(EVENT_ATTRIBUTE), _without_handlers(text)).otherwise(text)
     return F.btrim(F.regexp_replace(text, SPACE_RUN, " "), F.lit(" "))
 
