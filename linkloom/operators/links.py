@@ -143,8 +143,9 @@ def parse_submissions(
     parsed = F.from_json(
         F.concat(F.lit("["), F.col(value), F.lit(",{}]")), _RECORD, {"allowSingleQuotes": "false"}
     )
-    record = F.when((F.size(parsed) == 2) & F.is_valid_utf8(F.col(value)), parsed[0])
-    fields = computed_once(df, {"_r": record})
+    arrays = df.withColumn("_a", F.when(F.is_valid_utf8(F.col(value)), parsed))
+    record = F.when(F.size("_a") == 2, F.col("_a")[0])
+    fields = computed_once(arrays, {"_r": record})
 
     def kind(name):
         return F.coalesce(F.schema_of_variant(F.col(f"_r.{name}")), F.lit(""))
