@@ -117,12 +117,17 @@ def deny_domains(
             links = links.join(F.broadcast(tails), "_tail", "left_anti").drop("_tail")
         return links.drop("_host")
 
+    # Most suffixes ("com") are on no list but shared by many hosts: unmatched ones go first, and
+    # both joins that a popular suffix or host takes part in are salted.
+    salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     hosts = links.select("_host").filter("_host is not null").distinct()
     tries = hosts.select("_host", F.explode(host_suffixes(F.col("_host"))).alias("pattern"))
-    denied = tries.join(below, "pattern").select("_host").union(exact).distinct()
-    salted = denied.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    matched = below.select("pattern").join(tries.select("pattern").distinct(), "pattern", "left_semi")
+    tries = tries.withColumn("_salt", F.pmod(F.xxhash64("_host"), F.lit(salts)).cast("int"))
+    found = tries.join(matched.withColumn("_salt", salt), ["pattern", "_salt"], "left_semi")
+    denied = found.select("_host").union(exact).distinct().withColumn("_salt", salt)
     links = links.withColumn("_salt", F.pmod(F.xxhash64(url), F.lit(salts)).cast("int"))
-    return links.join(salted, ["_host", "_salt"], "left_anti").drop("_host", "_salt")
+    return links.join(denied, ["_host", "_salt"], "left_anti").drop("_host", "_salt")
 
 
 # --- submission records --------------------------------------------------------------------

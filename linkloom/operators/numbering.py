@@ -14,19 +14,27 @@ BUCKET_ROWS = 1_000_000
 
 
 def ranked(
-    df: DataFrame, by: list[str], bucket: Column, order: list, name: str = "rank0"
+    df: DataFrame,
+    by: list[str],
+    bucket: Column,
+    order: list,
+    name: str = "rank0",
+    carry: DataFrame | None = None,
 ) -> DataFrame:
     """Add the 0-based rank of each row along ``order`` within ``by``.
 
     ``bucket`` must not decrease along ``order`` and should hold a bounded number of rows.
+    ``carry`` is a table with one row per ``by``: its other columns are added as well, by way of
+    the bucket table, so that the rows are not joined on ``by``, which may be skewed.
     """
     keys = [f"_by{i}" for i in range(len(by))]
+
     # Grouping takes nulls as equal but a join does not, so keys are strings without nulls.
-    keyed = df.select(
-        "*",
-        *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")).alias(k) for c, k in zip(by, keys)],
-        bucket.alias("_bucket"),
-    )
+    def with_keys(table):
+        strings = [F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in by]
+        return table.withColumns(dict(zip(keys, strings))) if by else table
+
+    keyed = with_keys(df).withColumn("_bucket", bucket)
     local = keyed.withColumn(
         "_in_bucket", F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(*order))
     )
@@ -39,10 +47,14 @@ def ranked(
             F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ).alias("_start"),
     )
+    carried = []
+    if carry is not None:
+        carried = [c for c in carry.columns if c not in by]
+        starts = starts.join(with_keys(carry).select(*keys, *carried), keys, "left")
     return (
         local.join(starts, [*keys, "_bucket"])
         .withColumn(name, (F.col("_start") + F.col("_in_bucket") - 1).cast("bigint"))
-        .select(*df.columns, name)
+        .select(*df.columns, name, *carried)
     )
 
 
@@ -75,13 +87,10 @@ def assign_chunks(
 
     ``prev`` is one number, or a table ``(by, prev)`` with the last chunk id of each group.
     """
-    chunked = ranked(df, [by], range_bucket(F.col(order), rows), [order], "_rank0")
-    chunk = F.floor(F.col("_rank0") / size) + 1
-    if isinstance(prev, DataFrame):
-        chunked = chunked.join(prev.select(by, F.col("prev").alias("_prev")), by, "left")
-        chunk = chunk + F.coalesce(F.col("_prev"), F.lit(0))
-    else:
-        chunk = chunk + prev
+    last = prev.select(by, "prev") if isinstance(prev, DataFrame) else None
+    chunked = ranked(df, [by], range_bucket(F.col(order), rows), [order], "_rank0", last)
+    before = F.lit(prev) if last is None else F.coalesce(F.col("prev"), F.lit(0))
+    chunk = F.floor(F.col("_rank0") / size) + 1 + before
     return chunked.select(*df.columns, chunk.cast("bigint").alias("chunk_id"))
 
 
@@ -124,6 +133,19 @@ def order_sources(df: DataFrame, *columns: str) -> DataFrame:
     return df.orderBy(*columns)
 
 
-def limit_pending(df: DataFrame, n: int = -1, order: str = "uid") -> DataFrame:
-    """The first ``n`` rows along ``order``; -1 is no limit.  Goes after the anti-join."""
-    return df if n == -1 else df.orderBy(order).limit(n)
+TOP_ROWS = 100_000
+
+
+def limit_pending(
+    df: DataFrame, n: int = -1, order: str = "uid", rows: int = BUCKET_ROWS
+) -> DataFrame:
+    """The first ``n`` rows along an integer ``order``; -1 is no limit.  Goes after the anti-join.
+
+    A short limit is a top-n, which ends in one task; a long one is a filter on the rank.
+    """
+    if n == -1:
+        return df
+    if n <= TOP_ROWS:
+        return df.orderBy(order).limit(n)
+    numbered = ranked(df, [], range_bucket(F.col(order), rows), [order], "_rank0")
+    return numbered.filter(F.col("_rank0") < n).drop("_rank0")

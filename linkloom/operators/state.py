@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.strings import is_blank
 from linkloom.operators.numbering import BUCKET_ROWS, assign_chunks
+from linkloom.session import cut_lineage, has_at_most
 
+BROADCAST_KEYS = 500_000
 STATE_SCHEMA = "month string, uid bigint, chunk_id bigint"
 
 
@@ -20,8 +22,15 @@ def pending_urls(urls: DataFrame, state: DataFrame, keys=("month", "uid")) -> Da
 
 
 def pending_members(pages: DataFrame, done: DataFrame, keys=("month", "fid")) -> DataFrame:
-    """Archive members that have no text yet in their month."""
-    return pages.join(done.select(*keys), list(keys), "left_anti")
+    """Archive members that have no text yet in their month.
+
+    Pages carry ``html``, which is not worth a shuffle: the done keys are broadcast if they
+    number ``BROADCAST_KEYS`` at most.
+    """
+    finished = done.select(*keys)
+    if has_at_most(finished, BROADCAST_KEYS):
+        finished = F.broadcast(finished)
+    return pages.join(finished, list(keys), "left_anti")
 
 
 def append_state(state: DataFrame, done: DataFrame, keys=("month", "uid")) -> DataFrame:
@@ -53,7 +62,8 @@ def resume(
     """
     spark = urls.sparkSession
     state = read_state(spark, state_path)
-    plan = assign_chunks(pending_urls(urls, state), size, last_chunks(state), rows=rows)
+    pending = pending_urls(urls, state)
+    plan = cut_lineage(assign_chunks(pending, size, last_chunks(state), rows=rows))
     attempts = process(plan)
     if "timed_out" not in attempts.columns:
         attempts = attempts.withColumn("timed_out", F.lit(False))
@@ -72,10 +82,22 @@ def resume(
     if written is None:
         return
     keys = ["month", "uid", "chunk_id"]
-    finished = written.filter("status != 'timeout'").select(*keys)
+    finished = _new_chunks(written, plan).filter("status != 'timeout'").select(*keys)
     finished.join(plan.select(*keys), keys, "left_semi").write.mode("append").parquet(state_path)
 
 
+def _new_chunks(written: DataFrame, plan: DataFrame, months: int = 1000) -> DataFrame:
+    """Prune the attempts to folders this run may have written."""
+    first = plan.groupBy("month").agg(F.min("chunk_id").alias("chunk_id"))
+    bounds = first.limit(months + 1).collect()
+    if len(bounds) > months:
+        return written
+    recent = F.lit(False)
+    for month, chunk_id in bounds:
+        recent = recent | ((F.col("month") == month) & (F.col("chunk_id") >= chunk_id))
+    return written.filter(recent)
+
+
 def _read_if_any(spark, path: str, schema) -> DataFrame | None:
     """A table that may not have been written yet."""
     try:

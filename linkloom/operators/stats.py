@@ -30,9 +30,17 @@ def archive_counts(docs: DataFrame, archive: str = "archive") -> DataFrame:
 
 
 def update_counts(docs: DataFrame, cache: DataFrame, archive: str = "archive") -> DataFrame:
-    """Count cache with the archives it lacks counted and added; known ones are not counted."""
-    fresh = docs.join(cache.select(archive), archive, "left_anti")
-    return cache.select(archive, "n_docs").unionByName(count_archives(fresh, archive))
+    """Count cache with the archives it lacks added; what it knows stays as it is.
+
+    Counting comes before the anti-join, so that an archive with a third of all documents
+    meets the cache as one row.
+    """
+    return cache.select(archive, "n_docs").unionByName(new_counts(docs, cache, archive))
+
+
+def new_counts(docs: DataFrame, cache: DataFrame, archive: str = "archive") -> DataFrame:
+    """Counts of the archives the cache does not hold."""
+    return count_archives(docs, archive).join(cache.select(archive), archive, "left_anti")
 
 
 def chunk_report(attempts: DataFrame) -> DataFrame:

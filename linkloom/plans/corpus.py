@@ -61,15 +61,15 @@ def scrape_corpus(
 ) -> DataFrame:
     """Landed pages ``(month, uid, url, html)`` to documents with id, metadata and chunk.
 
-    Chunks are cut over the pending URLs, before extraction; documents without content are
-    then dropped.  Only keys are ranked, and the text joins on once it has been extracted.
+    Chunks are cut over the keys of the pending URLs, before extraction, as documents without
+    content still count.  Their join with the pages also drops what is done.
     """
-    pending = pending_urls(landed, state)
-    chunks = assign_chunks(pending.select("month", "uid"), size, rows=rows)
-    docs = with_meta(extract(pending, mode), mode).select(
-        "month", "uid", doc_fid(F.col("uid"), F.col("url")).alias("fid"), "text", "meta"
+    pending = pending_urls(landed.select("month", "uid"), state)
+    chunks = assign_chunks(pending, size, rows=rows)
+    docs = with_meta(extract(landed.join(chunks, ["month", "uid"]), mode), mode)
+    return docs.select(
+        "month", "uid", doc_fid(F.col("uid"), F.col("url")).alias("fid"), "text", "meta", "chunk_id"
     )
-    return docs.join(chunks, ["month", "uid"])
 
 
 def extract_corpus(pages: DataFrame, done: DataFrame) -> DataFrame:

@@ -174,9 +174,9 @@ def content_md5(spark, d):
 
 
 def names(spark, d) -> DataFrame:
-    """File names with the month of each event, in the forms the stages use."""
+    """File names with a month for each event, in the forms the stages use."""
     n = F.col("event_id")
-    day = F.format_string("%d-%02d", F.year("ts") - F.col("user_id") % 4, F.col("user_id") % 12 + 1)
+    day = F.format_string("%d-%02d", F.lit(2024) - F.col("user_id") % 4, F.col("user_id") % 12 + 1)
     name = (
         F.when(n % 4 == 0, F.concat(F.lit("dumps/RS_v2_"), day, F.lit(".xz.goodlinks.txt")))
         .when(n % 4 == 1, F.concat(F.lit("scraped/RS_"), day, F.lit("-4_data.xz")))
@@ -193,7 +193,7 @@ SELECT event_id, CASE event_id % 4
   WHEN 2 THEN 'url_data/RS_' || day || '-4_meta.xz'
   ELSE 'other/list_' || day || '.bz2' END AS path
 FROM (SELECT event_id,
-  printf('%d-%02d', year(ts) - user_id % 4, user_id % 12 + 1) AS day FROM events)
+  printf('%d-%02d', 2024 - user_id % 4, user_id % 12 + 1) AS day FROM events)
 """
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.operators.stats import update_counts
+from linkloom.operators.stats import new_counts, update_counts
 
 FILE_ROWS = 5_000_000
 
@@ -69,8 +69,7 @@ def write_counts(docs: DataFrame, cache: DataFrame, path: str, archive: str = "a
 
     ``path`` must differ from where ``cache`` is read: a table cannot replace itself.
     """
-    fresh = docs.join(cache.select(archive), archive, "left_anti")
-    if fresh.isEmpty():
+    if new_counts(docs, cache, archive).isEmpty():
         return False
     update_counts(docs, cache, archive).write.mode("overwrite").parquet(path)
     return True

@@ -40,10 +40,12 @@ def test_batches(spark):
     assert sorted(rows) == sorted(again)
 
 
-def test_limit(spark):
+def test_limit(spark, monkeypatch):
     df = spark.range(10).withColumnRenamed("id", "uid")
     assert numbering.limit_pending(df).count() == 10
     assert [r.uid for r in numbering.limit_pending(df, 2).collect()] == [0, 1]
+    monkeypatch.setattr(numbering, "TOP_ROWS", 1)
+    assert sorted(r.uid for r in numbering.limit_pending(df, 7, rows=3).collect()) == list(range(7))
 
 
 def url_frame(spark, n, month="RS_2016-01"):
