@@ -63,7 +63,7 @@ def html_unescape(text: Column) -> Column:
     has_other = has_any & text.rlike(_other_entity())
     return F.coalesce(
         _string_udf(full)(F.when(has_other, text)),
-        F.when(has_any, _common_replaced(text)),
+        F.when(has_any & text.contains(";"), _common_replaced(text)),
         text,
     )
 

@@ -21,9 +21,16 @@ def _after(text: Column, mark: str) -> Column:
     return F.when(at > 0, F.substr(text, at + 1)).otherwise("")
 
 
+# White space and control characters that may precede a URL (fixed values).
+_LEADING = "".join(map(chr, range(0x21)))
+
+
 def _url_text(url: Column) -> Column:
     """URL without leading blanks and without tabs and line ends anywhere."""
-    return F.regexp_replace(F.regexp_replace(url, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
+    text = F.ltrim(url, F.lit(_LEADING))
+    for mark in "\t\r\n":
+        text = F.replace(text, F.lit(mark), F.lit(""))
+    return text
 
 
 @lru_cache(maxsize=1)
@@ -42,8 +49,12 @@ def _unparsable_pattern() -> str:
 
 
 def is_parsable(url: Column) -> Column:
-    """False for URLs the parser rejects, null for null."""
-    return ~_url_text(url).rlike(_unparsable_pattern())
+    """False for URLs the parser rejects, null for null.
+
+    Only URLs with brackets or characters beyond ASCII meet the pattern.
+    """
+    plain = ~url.contains("[") & ~url.contains("]") & (F.length(url) == F.octet_length(url))
+    return F.when(plain, True).otherwise(~_url_text(url).rlike(_unparsable_pattern()))
 
 
 def decode_component(text: Column) -> Column:
@@ -51,27 +62,52 @@ def decode_component(text: Column) -> Column:
     safe = F.when(
         text.contains("%"), F.regexp_replace(text, "%(?![0-9A-Fa-f]{2})", "%25")
     ).otherwise(text)
-    return F.when(text.rlike("[%+]"), F.try_url_decode(safe)).otherwise(text)
+    escaped = text.contains("%") | text.contains("+")
+    return F.when(escaped, F.try_url_decode(safe)).otherwise(text)
 
 
 def decode_path(path: Column) -> Column:
     return decode_component(path)
 
 
-def canonical_query(query: Column) -> Column:
-    """Decoded key/value pairs, sorted and distinct; blank values dropped."""
+def _query_set(query: Column, build, kind: str) -> Column:
+    """Sorted distinct array of ``build(key, value)``; pairs with blank values are dropped."""
 
-    def pair(p):
-        return F.struct(
-            decode_component(F.substring_index(p, "=", 1)).alias("k"),
-            decode_component(F.substr(p, F.instr(p, "=") + 1)).alias("v"),
+    def pairs(decode):
+        return F.transform(
+            given,
+            lambda p: build(
+                decode(F.substring_index(p, "=", 1)), decode(F.substr(p, F.instr(p, "=") + 1))
+            ),
         )
 
     given = F.filter(
         F.split(query, "&", -1),
         lambda p: (F.instr(p, "=") > 0) & (F.length(p) > F.instr(p, "=")),
     )
-    return F.array_sort(F.array_distinct(F.transform(given, pair)))
+    escaped = query.contains("%") | query.contains("+")
+    found = F.when(escaped, pairs(decode_component)).otherwise(pairs(lambda text: text))
+    several = F.when(query.contains("&"), F.sort_array(F.array_distinct(found))).otherwise(found)
+    return F.when(query.contains("="), several).when(
+        query.isNotNull(), F.array().cast(f"array<{kind}>")
+    )
+
+
+def canonical_query(query: Column) -> Column:
+    """Decoded key/value pairs, sorted and distinct; blank values dropped."""
+    return _query_set(
+        query, lambda k, v: F.struct(k.alias("k"), v.alias("v")), "struct<k string, v string>"
+    )
+
+
+def _query_key(query: Column) -> Column:
+    """The same set as one string; each part carries its length."""
+
+    def sized(text):
+        return F.concat(F.length(text).cast("string"), F.lit(":"), text)
+
+    pairs = _query_set(query, lambda k, v: F.concat(sized(k), sized(v)), "string")
+    return F.array_join(pairs, "")
 
 
 def with_url_parts(df: DataFrame, url: str = "url", name: str = "parts") -> DataFrame:
@@ -119,23 +155,16 @@ def with_url_key(
     if mode not in ("full", "host_path"):
         raise ValueError(f"unknown key mode: {mode}")
     p = F.col("_parts")
-    pairs = F.transform(
-        "_pairs",
-        lambda x: F.concat(
-            F.length(x["k"]).cast("string"), F.lit(":"), x["k"],
-            F.length(x["v"]).cast("string"), F.lit(":"), x["v"],
-        ),
-    )
     keys = {
         "host_path": F.concat(p["netloc"], F.lit("\n"), F.col("_decoded")),
         "full": F.concat(
             p["scheme"], F.lit("\n"), p["netloc"], F.lit("\n"),
             p["params"], F.lit("\n"), p["fragment"], F.lit("\n"),
-            F.length("_decoded").cast("string"), F.lit(":"), "_decoded", F.array_join(pairs, ""),
+            F.length("_decoded").cast("string"), F.lit(":"), "_decoded", "_pairs",
         ),
     }
     parsed = with_url_parts(df, url, "_parts").withColumns(
-        {"_decoded": decode_path(p["path"]), "_pairs": canonical_query(p["query"])}
+        {"_decoded": decode_path(p["path"]), "_pairs": _query_key(p["query"])}
     )
     return parsed.select(*[k for k in df.columns if k != name], keys[mode].alias(name))
 
@@ -146,7 +175,7 @@ def url_host(url: Column) -> Column:
     for mark in ("/", "?", "#"):
         rest = F.substring_index(rest, mark, 1)
     host = F.substring_index(F.substring_index(rest, "@", -1), ":", 1)
-    return F.regexp_replace(F.trim(host), r"\.+\z", "")
+    return F.rtrim(F.trim(host), F.lit("."))
 
 
 def host_suffixes(host: Column) -> Column:
