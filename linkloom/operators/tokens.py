@@ -22,6 +22,8 @@ COMBINE = 100_000_000
 FILES_PER_BATCH = 10_000
 
 VOCAB_ROWS = 1_000_000
+# Symbols up to which a word is merged by plain search.
+SHORT_WORD = 24
 # Words a task remembers over its batches, and the longest it remembers.
 CACHED_WORDS, CACHED_LENGTH = 200_000, 64
 
@@ -102,10 +104,30 @@ def byte_alphabet() -> list[str]:
 
 
 def merge_symbols(symbols: list[str], ranks: dict) -> list[str]:
-    """Join the best-ranked neighbours, everywhere, until no pair has a rank.
-
-    A heap of ranked pairs over linked positions keeps long unbroken words near linear.
-    """
+    """Join the best-ranked neighbours, everywhere, until no pair has a rank."""
+    if len(symbols) > SHORT_WORD:
+        return _merge_long(symbols, ranks)
+    while True:
+        best = rank = None
+        for pair in zip(symbols, symbols[1:]):
+            found = ranks.get(pair)
+            if found is not None and (rank is None or found < rank):
+                best, rank = pair, found
+        if best is None:
+            return symbols
+        merged, i = [], 0
+        while i < len(symbols):
+            if symbols[i] == best[0] and symbols[i + 1 : i + 2] == [best[1]]:
+                merged.append(symbols[i] + best[1])
+                i += 2
+            else:
+                merged.append(symbols[i])
+                i += 1
+        symbols = merged
+
+
+def _merge_long(symbols: list[str], ranks: dict) -> list[str]:
+    """The same with a heap of ranked pairs over linked places: near linear in the word."""
     from heapq import heapify, heappop, heappush
 
     size = len(symbols)
