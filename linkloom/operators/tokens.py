@@ -70,8 +70,12 @@ def encode_subwords(
 
     @F.arrow_udf("array<int>")
     def encode(batch: pa.Array) -> pa.Array:
+        import numpy as np
         import pyarrow.compute as pc
 
+        def ends(lengths):
+            return np.concatenate([[0], np.cumsum(lengths.to_numpy(zero_copy_only=False))])
+
         ids, ranks = shared.value
         alphabet = byte_alphabet()
         words = batch.flatten().dictionary_encode()
@@ -86,9 +90,8 @@ def encode_subwords(
             per_word.append(code)
         coded = pa.array(per_word, pa.list_(pa.int32())).take(words.indices)
         # Ends of the documents, first in words and then in ids.
-        word_ends = pc.cumulative_sum(pc.fill_null(batch.value_lengths(), 0)).to_pylist()
-        id_ends = [0, *pc.cumulative_sum(coded.value_lengths()).to_pylist()]
-        offsets = pa.array([0, *(id_ends[e] for e in word_ends)], pa.int32())
+        word_ends = ends(pc.fill_null(batch.value_lengths(), 0))
+        offsets = pa.array(ends(coded.value_lengths())[word_ends], pa.int32())
         return pa.ListArray.from_arrays(offsets, coded.flatten(), mask=batch.is_null())
 
     words = F.regexp_extract_all(F.col(text), F.lit("(?U)" + PRE_TOKEN), 0)
