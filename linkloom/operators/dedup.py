@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.arrow import html_unescape
 from linkloom.functions.urls import is_parsable, with_url_key
+from linkloom.session import computed_once
 
 ORDER = ("year", "month", "file", "uid")
 
@@ -15,7 +16,9 @@ def split_unparsable(df: DataFrame, url: str = "url") -> tuple[DataFrame, DataFr
     """Rows with ``url`` HTML-unescaped in place, and the rejects with their reason."""
     plain = df.withColumn(url, html_unescape(F.col(url)))
     good = F.coalesce(is_parsable(F.col(url)), F.lit(False))
-    return plain.filter(good), plain.filter(~good).withColumn("reason", F.lit("unparsable"))
+    judged = computed_once(plain, {"_good": good})
+    rejects = judged.filter(~F.col("_good")).withColumn("reason", F.lit("unparsable"))
+    return judged.filter("_good").drop("_good"), rejects.drop("_good")
 
 
 def keep_first(keyed: DataFrame, order=ORDER, key: str = "url_key") -> DataFrame:
