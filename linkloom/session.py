@@ -24,16 +24,28 @@ def local_session(app: str = "linkloom", cores: str = "*", partitions: int = 8)
     )
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder named by ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only a session that names none (a local test) gets a temporary folder.
+    Only a local session may leave it unset and gets a temporary folder; on a cluster a folder of
+    the driver's machine would be invisible to the executors, so that is an error.
     """
-    spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="linkloom-ckpt-"))
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="linkloom-shared-"))
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
