@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkloom.llm.decontam import contamination
 from linkloom.llm.exact import exact_groups
+from linkloom.llm.sharding import shard_documents
 from linkloom.llm.simhash import simhash_groups
+from linkloom.llm.substring import repeated_passages
+from linkloom.llm.urlfilter import judge_urls, url_host
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,7 +38,103 @@ def op3_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"), 40)
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP8_SQL = r"""
+WITH words AS (
+  SELECT r, doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM (SELECT row_number() OVER () AS r, * FROM documents)),
+items AS (
+  SELECT item_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM benchmark),
+grams AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS gram
+  FROM (SELECT *, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
+        FROM items WHERE len(w) > 0)),
+windows AS (
+  SELECT r, i, n, array_to_string(w[i : i + n - 1], ' ') AS gram
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM words, (SELECT DISTINCT n FROM grams) WHERE len(w) >= n)),
+hits AS (SELECT r, i, windows.n, item_id FROM windows JOIN grams USING (gram)),
+covered AS (SELECT r, count(DISTINCT i + k) AS n_hit
+            FROM (SELECT r, i, unnest(range(0, n)) AS k FROM hits) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+          FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+"""
+
+URL_RULES = [
+    ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"), ("block", "com", "/de/"),
+]
+
+
+def op9_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list holds the URLs of the crawl whose host is named as spam; variants of them are found."""
+    pages = table(spark, sf_dir, "pages")
+    listed = pages.where(F.startswith(url_host(F.col("url")), F.lit("spam"))).select("url")
+    return judge_urls(pages, listed, URL_RULES)
+
+
+OP9_SQL = r"""
+WITH cut AS (
+  SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3)
+                            ELSE '' END AS rest
+  FROM pages),
+parts AS (
+  SELECT page_id, contains(coalesce(url, ''), '://') AS good,
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+         regexp_extract(rest, '^[^?#]*\?([^#]*)', 1) AS query
+  FROM cut),
+canon AS (
+  SELECT page_id, host, path,
+         CASE WHEN good THEN regexp_replace(host, '^www\.', '')
+           || regexp_replace(path, '(\.html|/)$', '') || CASE WHEN q <> '' THEN '?' || q ELSE '' END
+         END AS canonical
+  FROM (SELECT *, regexp_replace(regexp_replace(query, '(^|&)(utm_[^&=]*|ref)(=[^&]*)?', '', 'g'),
+                                 '^&', '') AS q FROM parts)),
+listed AS (SELECT DISTINCT canonical FROM canon WHERE host LIKE 'spam%'),
+ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1')
+      THEN 'example.org/en/1'
+    WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/')
+      THEN 'example.org/es/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/' END AS rule
+  FROM canon)
+SELECT page_id, host, path, rule, ruled.canonical,
+       listed.canonical IS NOT NULL AS listed,
+       CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN listed.canonical IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled LEFT JOIN listed ON ruled.canonical = listed.canonical
+"""
+
+
+def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_exact_groups": (op2_exact_groups, OP2_SQL),
     "op3_simhash_groups": (op3_simhash_groups, None),
+    "op7_shards": (op7_shards, None),
+    "op8_decontaminate": (op8_decontaminate, OP8_SQL),
+    "op9_url_verdicts": (op9_url_verdicts, OP9_SQL),
+    "op10_repeated_passages": (op10_repeated_passages, None),
 }
