@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from linkloom.llm.decontam import contamination
 from linkloom.llm.exact import exact_groups
+from linkloom.llm.mixing import label_domains, mixing_rates
+from linkloom.llm.pii import find_pii
+from linkloom.llm.quality import score_quality
+from linkloom.llm.secrets import find_secrets
 from linkloom.llm.sharding import shard_documents
 from linkloom.llm.simhash import simhash_groups
 from linkloom.llm.substring import repeated_passages
@@ -17,6 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -38,6 +47,23 @@ def op3_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+#: Shares of all tokens that the mix asks for.
+MIX_TARGETS = {"clean": 0.9, "low": 0.07, "toxic": 0.03}
+
+
+def op4_mixing_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = label_domains(table(spark, sf_dir, "labels"))
+    return mixing_rates(table(spark, sf_dir, "documents"), labelled, MIX_TARGETS)
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), 40)
 
@@ -131,10 +157,15 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secrets": (op1_secrets, None),
     "op2_exact_groups": (op2_exact_groups, OP2_SQL),
     "op3_simhash_groups": (op3_simhash_groups, None),
+    "op4_mixing_rates": (op4_mixing_rates, None),
+    "op5_pii": (op5_pii, None),
+    "op6_quality": (op6_quality, None),
     "op7_shards": (op7_shards, None),
     "op8_decontaminate": (op8_decontaminate, OP8_SQL),
     "op9_url_verdicts": (op9_url_verdicts, OP9_SQL),
     "op10_repeated_passages": (op10_repeated_passages, None),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
