@@ -158,8 +158,8 @@ def follows_rule(kind: str, match: str) -> bool:
         return len(groups) == 4 and octets_fit(groups)
     if kind == "card":
         return 16 <= len(digits) <= 19 and luhn(digits)
-    return 8 <= len(digits) <= 15 and max(map(len, groups)) <= 5 and (
-        match[0] in "+(" or len(groups) >= 3) and match.count(".") < 3
+    # Without a plus sign or an area code in brackets, digits with signs are anything.
+    return 8 <= len(digits) <= 15 and max(map(len, groups)) <= 5 and ("+" in match or "(" in match)
 
 
 def rewritten(kind: str, match: str) -> list[str]:

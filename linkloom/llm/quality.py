@@ -22,6 +22,7 @@ SAMPLE_ROWS, SAMPLE_TEXT_BYTES = 4000, 1 << 15
 FOLDS, THRESHOLD = 5, 0.3
 STEP, FILTERS, WIDTH = 4, 24, 4  # bytes between windows of two steps; embedding width
 CHUNK = 1 << 14
+EPOCHS, BATCH, LEAST_STEPS = 12, 32, 600
 
 
 @dataclass
@@ -85,8 +86,12 @@ def probability(net: Network, steps: np.ndarray) -> float:
     return float(1 / (1 + np.exp(-np.clip(pooled @ net.weights + net.offset, -30, 30))))
 
 
-def fit(texts: list[str | None], labels: list[int], epochs: int = 12, seed: int = 1) -> Network:
-    """Adam on the cross-entropy; both classes weigh the same."""
+def fit(texts: list[str | None], labels: list[int], seed: int = 1) -> Network:
+    """Adam on the cross-entropy; both classes weigh the same.
+
+    Twelve passes, or more where few documents would give few steps.
+    """
+    epochs = max(EPOCHS, -(-LEAST_STEPS * BATCH // len(texts)))
     net = Network.initial(seed)
     y = np.array(labels, np.float32)
     share = y.mean()
@@ -99,9 +104,9 @@ def fit(texts: list[str | None], labels: list[int], epochs: int = 12, seed: int
     for epoch in range(epochs):
         order = rng.permutation(len(docs))
         rate = 0.02 * (1 - epoch / epochs) + 0.001
-        for at in range(0, len(order), 32):
+        for at in range(0, len(order), BATCH):
             grads = [np.zeros_like(a) for a in net.arrays()] + [0.0]
-            batch = order[at : at + 32]
+            batch = order[at : at + BATCH]
             for i in batch:
                 top, place = strongest(net, docs[i])
                 active = top + net.bias > 0
