@@ -11,7 +11,9 @@ from linkloom.operators.policy import DenyPolicy
 from linkloom.session import computed_once, has_at_most
 
 BROADCAST_ROWS = 100_000
-_RECORD = "array<struct<url variant, score variant, over_18 variant>>"
+_RECORD = "array<struct<url variant, score variant, over_18 variant, _end string>>"
+# Marks the element that is set behind a line's object, so that no line can stand in for it.
+_END = "end of line 5f2b8c"
 
 
 def _or_false(condition: Column) -> Column:
@@ -126,7 +128,9 @@ def deny_domains(
     tries = tries.withColumn("_salt", F.pmod(F.xxhash64("_host"), F.lit(salts)).cast("int"))
     found = tries.join(matched.withColumn("_salt", salt), ["pattern", "_salt"], "left_semi")
     denied = found.select("_host").union(exact).distinct().withColumn("_salt", salt)
-    links = links.withColumn("_salt", F.pmod(F.xxhash64(url), F.lit(salts)).cast("int"))
+    # By the row, not by its URL: one URL may hold a third of all rows.
+    row = F.monotonically_increasing_id()
+    links = links.withColumn("_salt", F.pmod(row, F.lit(salts)).cast("int"))
     return links.join(denied, ["_host", "_salt"], "left_anti").drop("_host", "_salt")
 
 
@@ -143,13 +147,14 @@ def parse_submissions(
     ``bad_url``, ``bad_score`` or ``bad_over_18`` if a field that is needed next is missing or
     has the wrong type.  Fields behind the test that drops a record are not looked at.
     """
-    # The line is parsed next to an empty second element: junk after the object, a second
-    # object or a blank line then breaks the array or its size.
-    parsed = F.from_json(
-        F.concat(F.lit("["), F.col(value), F.lit(",{}]")), _RECORD, {"allowSingleQuotes": "false"}
-    )
+    # The line is parsed next to a second element that carries a mark: junk after the object, a
+    # second object, a blank line or an array closed by the line break the array, its size or the
+    # place of the mark.
+    closed = F.concat(F.lit("["), F.col(value), F.lit(f',{{"_end":"{_END}"}}]'))
+    parsed = F.from_json(closed, _RECORD, {"allowSingleQuotes": "false"})
     arrays = df.withColumn("_a", F.when(F.is_valid_utf8(F.col(value)), parsed))
-    record = F.when(F.size("_a") == 2, F.col("_a")[0])
+    marked = (F.size("_a") == 2) & (F.get("_a", F.lit(1))["_end"] == _END)
+    record = F.when(marked, F.col("_a")[0])
     fields = computed_once(arrays, {"_r": record})
 
     def kind(name):

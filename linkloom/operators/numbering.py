@@ -3,6 +3,7 @@
 A global rank would sort everything in one task.  Here the order is cut into buckets by a
 rule that never decreases along it (a range of integers, a hash prefix).  Rows are ranked
 inside their bucket, and a small table of bucket sizes gives each bucket its first rank.
+Rows without a value in the order column come first, as in any sort.
 """
 
 from __future__ import annotations
@@ -20,12 +21,15 @@ def ranked(
     order: list,
     name: str = "rank0",
     carry: DataFrame | None = None,
+    coarse: Column | None = None,
 ) -> DataFrame:
     """Add the 0-based rank of each row along ``order`` within ``by``.
 
     ``bucket`` must not decrease along ``order`` and should hold a bounded number of rows.
     ``carry`` is a table with one row per ``by``: its other columns are added as well, by way of
     the bucket table, so that the rows are not joined on ``by``, which may be skewed.
+    ``coarse`` is a rule on ``_bucket`` that does not decrease with it: where sparse ids make many
+    buckets, sizes are summed within coarse buckets first, and never in one task.
     """
     keys = [f"_by{i}" for i in range(len(by))]
 
@@ -39,25 +43,49 @@ def ranked(
         "_in_bucket", F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(*order))
     )
     sizes = keyed.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_bucket")
-    starts = sizes.select(
-        *keys,
-        "_bucket",
-        F.coalesce(
-            F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_start"),
-    )
+    if coarse is None:
+        starts = _running(sizes, keys, "_bucket", "_start")
+    else:
+        sizes = sizes.withColumn("_coarse", coarse)
+        fine = _running(sizes, [*keys, "_coarse"], "_bucket", "_fine")
+        groups = sizes.groupBy(*keys, "_coarse").agg(F.sum("_n").alias("_n"))
+        starts = _join(fine, _running(groups, keys, "_coarse", "_before"), keys, "_coarse")
+        starts = starts.select(*keys, "_bucket", (F.col("_fine") + F.col("_before")).alias("_start"))
     carried = []
     if carry is not None:
         carried = [c for c in carry.columns if c not in by]
         starts = starts.join(with_keys(carry).select(*keys, *carried), keys, "left")
     return (
-        local.join(starts, [*keys, "_bucket"])
+        _join(local, starts, keys, "_bucket")
         .withColumn(name, (F.col("_start") + F.col("_in_bucket") - 1).cast("bigint"))
         .select(*df.columns, name, *carried)
     )
 
 
+def _running(sizes: DataFrame, keys: list[str], bucket: str, name: str) -> DataFrame:
+    """Rows before each bucket, within ``keys``."""
+    earlier = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    total = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    return sizes.withColumn(name, total).drop("_n")
+
+
+def _join(rows: DataFrame, starts: DataFrame, keys: list[str], bucket: str) -> DataFrame:
+    """An inner join on keys without nulls and a bucket that may be null."""
+    renamed = starts.withColumnsRenamed({c: f"{c}_r" for c in (*keys, bucket)})
+    same = F.col(bucket).eqNullSafe(F.col(f"{bucket}_r"))
+    for key in keys:
+        same = same & (F.col(key) == F.col(f"{key}_r"))
+    return rows.join(renamed, same).drop(*(f"{c}_r" for c in (*keys, bucket)))
+
+
+# At most so many buckets in a coarse one: 2 ** 22 of each cover all 64-bit ids.
+COARSE_BITS = 22
+
+
+def _coarse_range() -> Column:
+    return F.shiftright(F.col("_bucket"), COARSE_BITS)
+
+
 def range_bucket(number: Column, rows: int = BUCKET_ROWS) -> Column:
     """Bucket of an integer id: at most ``rows`` distinct ids in each."""
     return F.floor(number / rows)
@@ -133,19 +161,15 @@ def order_sources(df: DataFrame, *columns: str) -> DataFrame:
     return df.orderBy(*columns)
 
 
-TOP_ROWS = 100_000
-
-
 def limit_pending(
     df: DataFrame, n: int = -1, order: str = "uid", rows: int = BUCKET_ROWS
 ) -> DataFrame:
     """The first ``n`` rows along an integer ``order``; -1 is no limit.  Goes after the anti-join.
 
-    A short limit is a top-n, which ends in one task; a long one is a filter on the rank.
+    A filter on the rank at any ``n``, so that rows without an order value count alike, and first.
     """
     if n == -1:
         return df
-    if n <= TOP_ROWS:
-        return df.orderBy(order).limit(n)
-    numbered = ranked(df, [], range_bucket(F.col(order), rows), [order], "_rank0")
+    bucket = range_bucket(F.col(order), rows)
+    numbered = ranked(df, [], bucket, [order], "_rank0", coarse=_coarse_range())
     return numbered.filter(F.col("_rank0") < n).drop("_rank0")

@@ -95,18 +95,27 @@ def clean_html(pages: DataFrame, html: str = "html") -> DataFrame:
     )
 
 
-SCRAPERS = {"raw": clean_html, "bs4": paragraph_text, "newspaper": main_text}
+SCRAPERS = {"raw": clean_html, "paragraphs": paragraph_text, "visible": main_text}
+# Names under which these modes are asked for elsewhere.
+ALIASES = {"bs4": "paragraphs", "newspaper": "visible"}
 
 
-def extract(pages: DataFrame, mode: str = "newspaper") -> DataFrame:
+def mode_name(mode: str) -> str:
+    """The name of the rule that a mode, or an alias of it, stands for."""
+    name = ALIASES.get(mode, mode)
+    if name not in SCRAPERS:
+        raise ValueError(f"unknown mode {mode!r}; one of {', '.join((*SCRAPERS, *ALIASES))}")
+    return name
+
+
+def extract(pages: DataFrame, mode: str = "visible") -> DataFrame:
     """Text of pages by mode name; blank results are dropped."""
-    if mode not in SCRAPERS:
-        raise ValueError(f"unknown mode {mode!r}; one of {', '.join(SCRAPERS)}")
-    return nonempty_text(SCRAPERS[mode](pages))
+    return nonempty_text(SCRAPERS[mode_name(mode)](pages))
 
 
 def with_meta(df: DataFrame, mode: str, url: str = "url", elapsed: str | None = None) -> DataFrame:
     """Add ``meta``: url, word count (null in raw mode), elapsed seconds and mode name."""
+    mode = mode_name(mode)
     seconds = F.col(elapsed) if elapsed else F.lit(None)
     words = F.lit(None) if mode == "raw" else F.col("word_count")
     return df.withColumn(

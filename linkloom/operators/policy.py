@@ -8,28 +8,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # Domains that are not taken (fixed values).
-DENIED_DOMAINS = tuple(
-    """
-    aapks.com bandcamp.com battleforthenet.com deviantart.com discord.gg dlapkandroid.org
-    ebay.com edealinfo.com erome.com facebook.com flic.kr flickr.com gfycat.com giphy.com
-    github.com google.com gunprime.com gyazo.com hotdealstar.com imgflip.com imgur.com
-    instagram.com magaimg.net pinterest.com pornhub.com redd.it reddit.com redditmedia.com
-    reddituploads.com roanoke.com rollingstone.com sli.mg soundcloud.com spotify.com
-    spotrac.com strawpoll.me streamable.com timeanddate.com twimg.com twitch.tv twitter.com
-    vimeo.com voyagefusion.com walmart.com wikipedia.org xkcd.com youtu.be youtube.com
-    youtubedoubler.com
-    """.split()
+DENIED_DOMAINS = (
+    "aapks.com", "bandcamp.com", "battleforthenet.com", "deviantart.com", "discord.gg",
+    "dlapkandroid.org", "ebay.com", "edealinfo.com", "erome.com", "facebook.com", "flic.kr",
+    "flickr.com", "gfycat.com", "giphy.com", "github.com", "google.com", "gunprime.com",
+    "gyazo.com", "hotdealstar.com", "imgflip.com", "imgur.com", "instagram.com",
+    "magaimg.net", "pinterest.com", "pornhub.com", "redd.it", "reddit.com", "redditmedia.com",
+    "reddituploads.com", "roanoke.com", "rollingstone.com", "sli.mg", "soundcloud.com",
+    "spotify.com", "spotrac.com", "strawpoll.me", "streamable.com", "timeanddate.com",
+    "twimg.com", "twitch.tv", "twitter.com", "vimeo.com", "voyagefusion.com", "walmart.com",
+    "wikipedia.org", "xkcd.com", "youtu.be", "youtube.com", "youtubedoubler.com",
 )
 # Listed with a subdomain, so only the very same host is meant (fixed values).
-DENIED_HOSTS = ("itunes.apple.com", "video.google.com")
+DENIED_HOSTS = (
+    "itunes.apple.com", "video.google.com",
+)
 # Endings that are not taken (fixed values).
-DENIED_SUFFIXES = tuple(
-    f".{s}"
-    for s in """
-    3gp 7z ai aif apk app avi bin bmp bz2 css csv dat deb dmg doc docx exe gif gifv gz iso jar
-    jpeg jpg js log mid midi mkv mov mp3 mp4 mpeg mpg ogg ogv otf pdf pkg png pps ppt pptx psd
-    py qt ram rar sql svg swf tar tar.gz tgz tiff ttf txt wav webm wma wmv xml xz zip
-    """.split()
+DENIED_SUFFIXES = (
+    ".3gp", ".7z", ".ai", ".aif", ".apk", ".app", ".avi", ".bin", ".bmp", ".bz2", ".css",
+    ".csv", ".dat", ".deb", ".dmg", ".doc", ".docx", ".exe", ".gif", ".gifv", ".gz", ".iso",
+    ".jar", ".jpeg", ".jpg", ".js", ".log", ".mid", ".midi", ".mkv", ".mov", ".mp3", ".mp4",
+    ".mpeg", ".mpg", ".ogg", ".ogv", ".otf", ".pdf", ".pkg", ".png", ".pps", ".ppt", ".pptx",
+    ".psd", ".py", ".qt", ".ram", ".rar", ".sql", ".svg", ".swf", ".tar", ".tar.gz", ".tgz",
+    ".tiff", ".ttf", ".txt", ".wav", ".webm", ".wma", ".wmv", ".xml", ".xz", ".zip",
 )
 
 

@@ -9,10 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions.strings import is_blank
-from linkloom.operators.numbering import BUCKET_ROWS, assign_chunks
-from linkloom.session import cut_lineage, has_at_most
+from linkloom.operators.numbering import BUCKET_ROWS, assign_chunks, limit_pending
+from linkloom.session import cut_lineage
 
-BROADCAST_KEYS = 500_000
 STATE_SCHEMA = "month string, uid bigint, chunk_id bigint"
 
 
@@ -24,13 +23,10 @@ def pending_urls(urls: DataFrame, state: DataFrame, keys=("month", "uid")) -> Da
 def pending_members(pages: DataFrame, done: DataFrame, keys=("month", "fid")) -> DataFrame:
     """Archive members that have no text yet in their month.
 
-    Pages carry ``html``, which is not worth a shuffle: the done keys are broadcast if they
-    number ``BROADCAST_KEYS`` at most.
+    Pages carry ``html``, which is not worth a shuffle: Spark broadcasts the done keys where their
+    size, known from the files or at run time, allows it.
     """
-    finished = done.select(*keys)
-    if has_at_most(finished, BROADCAST_KEYS):
-        finished = F.broadcast(finished)
-    return pages.join(finished, list(keys), "left_anti")
+    return pages.join(done.select(*keys), list(keys), "left_anti")
 
 
 def append_state(state: DataFrame, done: DataFrame, keys=("month", "uid")) -> DataFrame:
@@ -50,6 +46,7 @@ def resume(
     process: Callable[[DataFrame], DataFrame],
     size: int = 100,
     rows: int = BUCKET_ROWS,
+    max_urls: int = -1,
 ) -> None:
     """One resumable run: pending URLs, chunks, ``process``, then data, then state.
 
@@ -58,11 +55,12 @@ def resume(
     names them, in partitions a rerun overwrites: chunk ids follow from the state alone, so a
     run that died in between is repeated into the same folders.  The state is then read off
     the written attempts; nothing is processed twice.  Timed-out URLs stay pending, empty
-    results do not.
+    results do not.  ``max_urls`` bounds the pending URLs of this run, by ``uid``; -1 is no bound.
     """
     spark = urls.sparkSession
     state = read_state(spark, state_path)
-    pending = pending_urls(urls, state)
+    typed = urls.withColumns({"month": F.col("month").cast("string"), "uid": F.col("uid").cast("bigint")})
+    pending = limit_pending(pending_urls(typed, state), max_urls, rows=rows)
     plan = cut_lineage(assign_chunks(pending, size, last_chunks(state), rows=rows))
     attempts = process(plan)
     if "timed_out" not in attempts.columns:

@@ -18,11 +18,12 @@ def count_archives(docs: DataFrame, archive: str = "archive") -> DataFrame:
 
 
 def with_total(counts: DataFrame, archive: str = "archive") -> DataFrame:
-    """Counts per archive and a last row, archive null, with the grand total.
+    """Counts per archive and a row with the grand total, ``is_total`` telling it from a null archive.
 
     The rollup runs over the counts, so the documents are not expanded twice.
     """
-    return counts.rollup(archive).agg(F.sum("n_docs").alias("n_docs"))
+    total = F.grouping(archive) == 1
+    return counts.rollup(archive).agg(F.sum("n_docs").alias("n_docs"), total.alias("is_total"))
 
 
 def archive_counts(docs: DataFrame, archive: str = "archive") -> DataFrame:
@@ -38,6 +39,11 @@ def update_counts(docs: DataFrame, cache: DataFrame, archive: str = "archive") -
     return cache.select(archive, "n_docs").unionByName(new_counts(docs, cache, archive))
 
 
+def pending_archives(archives: DataFrame, cache: DataFrame, archive: str = "archive") -> DataFrame:
+    """Listed archives that the cache does not hold, each once."""
+    return archives.select(archive).distinct().join(cache.select(archive), archive, "left_anti")
+
+
 def new_counts(docs: DataFrame, cache: DataFrame, archive: str = "archive") -> DataFrame:
     """Counts of the archives the cache does not hold."""
     return count_archives(docs, archive).join(cache.select(archive), archive, "left_anti")

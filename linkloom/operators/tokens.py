@@ -11,7 +11,8 @@ from linkloom.functions.strings import lines_of
 from linkloom.operators.numbering import batch_files
 
 # A word, or one mark that is neither letter, digit nor space (rule of this library).
-WORD = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
+# Letters carry their marks, as NFKD splits an accented letter in two.
+WORD = r"[\p{L}\p{M}\p{N}]+|[^\s\p{L}\p{M}\p{N}]"
 # Pre-token pattern of the public 50k byte-level vocabulary (fixed value).
 PRE_TOKEN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -21,7 +22,10 @@ MIN_LENGTH = 20
 COMBINE = 100_000_000
 FILES_PER_BATCH = 10_000
 
-VOCAB_ROWS = 1_000_000
+# Bytes that vocabulary and merges may take in each Python worker.
+VOCAB_BYTES = 1 << 30
+# Stands for a symbol without an id until it is counted.
+UNKNOWN = -(2**31)
 # Symbols up to which a word is merged by plain search.
 SHORT_WORD = 24
 # Words a task remembers over its batches, and the longest it remembers.
@@ -36,7 +40,8 @@ def nonblank_lines(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def word_tokens(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(WORD), 0)
+    """Words and marks; white space is that of Unicode."""
+    return F.regexp_extract_all(text, F.lit("(?U)" + WORD), 0)
 
 
 def tokenize_words(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -47,11 +52,18 @@ def tokenize_words(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _lookup(vocab: DataFrame, merges: DataFrame) -> tuple[dict, dict]:
-    """Both tables as dictionaries; tables beyond ``VOCAB_ROWS`` are refused, not collected."""
-    tokens = vocab.select("token", "id").limit(VOCAB_ROWS + 1).collect()
-    pairs = merges.select("left", "right", "rank").limit(VOCAB_ROWS + 1).collect()
-    if max(len(tokens), len(pairs)) > VOCAB_ROWS:
-        raise ValueError(f"vocabulary and merges may hold {VOCAB_ROWS} rows each")
+    """Both tables as dictionaries, after a check of the room they take.
+
+    Every worker holds them whole, whatever their number of rows, so there is no other way beyond
+    ``VOCAB_BYTES``: about eight million rows of usual length.
+    """
+    # A dictionary entry with its string objects takes some 120 bytes beside the characters.
+    held = vocab.agg(F.sum(F.octet_length("token") + 120)).first()[0] or 0
+    held += merges.agg(F.sum(F.octet_length("left") + F.octet_length("right") + 240)).first()[0] or 0
+    if held > VOCAB_BYTES:
+        raise ValueError(f"vocabulary and merges take {held} bytes of {VOCAB_BYTES} in each worker")
+    tokens = vocab.select("token", "id").collect()
+    pairs = merges.select("left", "right", "rank").collect()
     return {r.token: r.id for r in tokens}, {(r.left, r.right): r.rank for r in pairs}
 
 
@@ -59,11 +71,13 @@ def encode_subwords(
     docs: DataFrame, vocab: DataFrame, merges: DataFrame, text: str = "text"
 ) -> DataFrame:
     """Add ``ids``: byte-level sub-word ids by the given ``vocab(token, id)`` and
-    ``merges(rank, left, right)``, whose rows are written in the printable byte alphabet.
+    ``merges(rank, left, right)``, whose rows are written in the printable byte alphabet; and
+    ``n_unknown``: how many symbols the vocabulary has no id for.  These have no place in ``ids``,
+    so a document with any is not complete.
 
     The text is cut into words in the JVM.  Each Arrow batch is dictionary-encoded, so a word
     is merged once per batch however often it occurs, and a bounded cache carries frequent
-    words over batches.  Symbols without an id are left out.
+    words over batches.
     """
     shared = docs.sparkSession.sparkContext.broadcast(_lookup(vocab, merges))
     known: dict[str, list[int]] = {}
@@ -84,7 +98,7 @@ def encode_subwords(
             code = known.get(word)
             if code is None:
                 symbols = merge_symbols([alphabet[b] for b in word.encode("utf-8")], ranks)
-                code = [ids[s] for s in symbols if s in ids]
+                code = [ids.get(s, UNKNOWN) for s in symbols]
                 if len(known) < CACHED_WORDS and len(word) <= CACHED_LENGTH:
                     known[word] = code
             per_word.append(code)
@@ -95,7 +109,11 @@ def encode_subwords(
         return pa.ListArray.from_arrays(offsets, coded.flatten(), mask=batch.is_null())
 
     words = F.regexp_extract_all(F.col(text), F.lit("(?U)" + PRE_TOKEN), 0)
-    return docs.withColumn("ids", encode.asNondeterministic()(words))
+    coded = docs.withColumn("ids", encode.asNondeterministic()(words))
+    known_ids = F.filter("ids", lambda i: i != UNKNOWN)
+    return coded.withColumns(
+        {"ids": known_ids, "n_unknown": (F.size("ids") - F.size(known_ids)).cast("bigint")}
+    )
 
 
 def byte_alphabet() -> list[str]:
@@ -232,15 +250,6 @@ def shard_rows(encoded: DataFrame, packed: DataFrame, path: str = "path") -> Dat
     ).select("batch_id", "shard_id", "pos", "ids")
 
 
-def shard_arrays(rows: DataFrame) -> DataFrame:
-    """One array per shard; for limits whose arrays fit a row."""
-    docs = F.array_sort(F.collect_list(F.struct("pos", "ids")))
-    merged = rows.groupBy("batch_id", "shard_id").agg(docs.alias("_d"))
-    return merged.select(
-        "batch_id", "shard_id", F.flatten(F.transform("_d", lambda d: d["ids"])).alias("ids")
-    )
-
-
 def encode_documents(
     docs: DataFrame, vocab: DataFrame, merges: DataFrame, eot: int, text: str = "text"
 ) -> DataFrame:
@@ -248,11 +257,14 @@ def encode_documents(
     return with_lengths(append_eot(encode_subwords(docs, vocab, merges, text), eot))
 
 
-TOKENIZERS = {"spacy": tokenize_words, "gpt2": encode_documents}
+TOKENIZERS = {"words": tokenize_words, "subwords": encode_documents}
+# Names under which these modes are asked for elsewhere.
+ALIASES = {"spacy": "words", "gpt2": "subwords"}
 
 
-def tokenize(docs: DataFrame, mode: str = "spacy", **options) -> DataFrame:
-    """Tokens by mode name; ``gpt2`` needs ``vocab``, ``merges`` and ``eot``."""
-    if mode not in TOKENIZERS:
-        raise ValueError(f"unknown mode {mode!r}; one of {', '.join(TOKENIZERS)}")
-    return TOKENIZERS[mode](docs, **options)
+def tokenize(docs: DataFrame, mode: str = "words", **options) -> DataFrame:
+    """Tokens by mode name; ``subwords`` needs ``vocab``, ``merges`` and ``eot``."""
+    name = ALIASES.get(mode, mode)
+    if name not in TOKENIZERS:
+        raise ValueError(f"unknown mode {mode!r}; one of {', '.join((*TOKENIZERS, *ALIASES))}")
+    return TOKENIZERS[name](docs, **options)

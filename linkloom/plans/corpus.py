@@ -13,16 +13,30 @@ from linkloom.operators.links import good_links, parse_submissions
 from linkloom.operators.numbering import BUCKET_ROWS, assign_chunks
 from linkloom.operators.pages import extract, main_text, nonempty_text, with_meta, with_paragraphs
 from linkloom.operators.policy import DenyPolicy
-from linkloom.operators.state import pending_members, pending_urls
+from linkloom.operators.state import last_chunks, pending_members, pending_urls
+from linkloom.operators.stats import count_archives, data_archives, pending_archives
+from linkloom.sources.archives import read_members
+from linkloom.sources.files import list_files
 from linkloom.operators.tokens import COMBINE, FILES_PER_BATCH, MIN_LENGTH, pack_tokens
 
 
+def undated(df: DataFrame, file: str = "src_file") -> DataFrame:
+    """Files whose name tells no year and month; they have no place in the order of sightings."""
+    found = year_month(F.col(file))
+    bad = found["year"].isNull() | found["month"].isNull()
+    return df.filter(bad).select(F.col(file).alias("file"), F.lit("no_month").alias("reason")).distinct()
+
+
 def link_corpus(
     lines: DataFrame, policy: DenyPolicy = DenyPolicy(), min_karma: int = 3, mode: str = "full"
 ) -> DataFrame:
-    """Dump lines to globally first-seen good links; one shuffle, on the URL key."""
-    hits = parse_submissions(lines, policy, min_karma).filter("status = 'hit'")
+    """Dump lines to globally first-seen good links; one shuffle, on the URL key.
+
+    Files without a month in their name are left out: ``undated`` lists them.
+    """
     found = year_month(F.col("src_file"))
+    dated = lines.filter(found["year"].isNotNull() & found["month"].isNotNull())
+    hits = parse_submissions(dated, policy, min_karma).filter("status = 'hit'")
     return dedupe_urls(
         hits.select(
             F.col("src_file").alias("file"),
@@ -55,18 +69,21 @@ def page_corpus(pages: DataFrame, policy: DenyPolicy = DenyPolicy()) -> DataFram
 def scrape_corpus(
     landed: DataFrame,
     state: DataFrame,
-    mode: str = "newspaper",
+    mode: str = "visible",
     size: int = 100,
     rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Landed pages ``(month, uid, url, html)`` to documents with id, metadata and chunk.
 
     Chunks are cut over the keys of the pending URLs, before extraction, as documents without
-    content still count.  Their join with the pages also drops what is done.
+    content still count, and go on after the last chunk of each month in ``state``, so that a
+    second run adds to the first one's folders.  Text is extracted where the pages are read; the
+    join with the chunks, which also drops what is done, moves texts and no ``html``.
     """
     pending = pending_urls(landed.select("month", "uid"), state)
-    chunks = assign_chunks(pending, size, rows=rows)
-    docs = with_meta(extract(landed.join(chunks, ["month", "uid"]), mode), mode)
+    chunks = assign_chunks(pending, size, last_chunks(state), rows=rows)
+    texts = with_meta(extract(landed, mode), mode).select("month", "uid", "url", "text", "meta")
+    docs = texts.join(chunks, ["month", "uid"])
     return docs.select(
         "month", "uid", doc_fid(F.col("uid"), F.col("url")).alias("fid"), "text", "meta", "chunk_id"
     )
@@ -77,6 +94,12 @@ def extract_corpus(pages: DataFrame, done: DataFrame) -> DataFrame:
     return nonempty_text(main_text(pending_members(pages, done)), strip=False)
 
 
+def count_new(spark, path, cache: DataFrame, glob: str | None = None) -> DataFrame:
+    """Counts of the data archives that the cache does not hold; the others are not opened."""
+    listed = data_archives(list_files(spark, path, glob).withColumnRenamed("path", "archive"))
+    return count_archives(read_members(pending_archives(listed, cache), content=False))
+
+
 def token_corpus(
     encoded: DataFrame,
     combine: int = COMBINE,

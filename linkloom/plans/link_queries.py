@@ -80,7 +80,8 @@ def submissions(spark, d) -> DataFrame:
     )
     value = (
         F.when(n % 10 == 3, F.expr("substr(r, 1, length(r) - 5)"))
-        .when(n % 10 == 6, F.concat("r", F.lit(" trailing")))
+        .when(n % 20 == 6, F.concat("r", F.lit(" trailing")))
+        .when(n % 20 == 16, F.concat("r", F.lit(",{}] junk")))
         .when(n % 30 == 7, F.regexp_replace("r", '"score":[0-9.]+', '"score":"high"'))
         .when(n % 30 == 17, F.regexp_replace("r", '"url":"[^"]*",', ""))
         .when(n % 30 == 27, F.regexp_replace("r", '"over_18":(true|false)', '"over_18":null'))

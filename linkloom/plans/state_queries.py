@@ -59,6 +59,33 @@ def limit_pending(spark, d):
     return numbering.limit_pending(pending_urls(spark, d).select("uid", "url"), 25)
 
 
+def gappy(spark, d):
+    """Line numbers of which every ninth is not known."""
+    docs = table(spark, d, "documents")
+    known = F.when(F.col("doc_id") % 9 != 4, F.col("doc_id"))
+    return docs.select("doc_id", "source", known.alias("line"))
+
+
+def unknown_lines(spark, d):
+    """Rows without a line number come first in their source; among them any order will do."""
+    ranks = numbering.number_lines(gappy(spark, d), "source", "line", rows=100)
+    return ranks.select("source", "line", "uid")
+
+
+def limit_unknown(spark, d):
+    """Half the table, ids far apart: the limit counts rows without a number, and first."""
+    apart = gappy(spark, d).select("source", (F.col("line") * 10**12).alias("uid"))
+    return numbering.limit_pending(apart, 10**6).groupBy("uid").count().withColumnRenamed("count", "n")
+
+
+def pending_years(spark, d):
+    """The same month of two years: what is done in one stays pending in the other."""
+    urls = url_table(spark, d).withColumn("uid", F.floor(F.col("uid") / 2))
+    label = F.concat(F.lit("RS_201"), (F.col("uid") % 2 + 6).cast("string"), F.substring("month", 8, 3))
+    years = urls.withColumn("month", label)
+    return state.pending_urls(years, years.filter("month = 'RS_2016-02'"))
+
+
 def chunk_urls(spark, d):
     prev = state.last_chunks(done_urls(spark, d).filter("month != 'RS_2016-02'"))
     return numbering.assign_chunks(pending_urls(spark, d), SIZE, prev, rows=ROWS).select(
@@ -103,7 +130,8 @@ def scrape_corpus(spark, d):
 
 def archives(spark, d):
     docs = table(spark, d, "documents")
-    return docs.select(F.concat(F.lit("scraped/"), "source", F.lit("_data.xz")).alias("archive"))
+    name = F.concat(F.lit("scraped/"), "source", F.lit("_data.xz"))
+    return docs.select(F.when(F.col("doc_id") % 50 != 7, name).alias("archive"))
 
 
 def archive_counts(spark, d):
@@ -135,7 +163,9 @@ SELECT {MONTH_SQL} AS month, page_id AS uid, printf('%07d-%s', page_id, md5(url)
   page_id % 4 = 0 AS done, CASE WHEN page_id % 9 = 1 THEN '' ELSE text END AS text
 FROM ({VISIBLE_SQL})
 """
-ARCHIVES_SQL = "SELECT 'scraped/' || source || '_data.xz' AS archive FROM documents"
+ARCHIVES_SQL = """
+SELECT CASE WHEN doc_id % 50 <> 7 THEN 'scraped/' || source || '_data.xz' END AS archive FROM documents
+"""
 
 QUERIES = {
     "number_lines": (
@@ -143,6 +173,23 @@ QUERIES = {
         """SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS uid
            FROM documents""",
     ),
+    "unknown_lines": (
+        unknown_lines,
+        """SELECT source, line, row_number() OVER (PARTITION BY source ORDER BY line NULLS FIRST) - 1 AS uid
+           FROM (SELECT source, CASE WHEN doc_id % 9 <> 4 THEN doc_id END AS line FROM documents)""",
+    ),
+    "limit_unknown": (
+        limit_unknown,
+        """SELECT uid, count(*) AS n
+           FROM (SELECT CASE WHEN doc_id % 9 <> 4 THEN doc_id * 1000000000000 END AS uid FROM documents
+                 ORDER BY uid NULLS FIRST LIMIT 1000000) GROUP BY uid""",
+    ),
+    "pending_years": (
+        pending_years,
+        f"""SELECT * FROM (
+              SELECT 'RS_201' || CAST(page_id // 2 % 2 + 6 AS VARCHAR) || substr({MONTH_SQL}, 8, 3) AS month,
+                page_id // 2 AS uid, url FROM pages) WHERE month <> 'RS_2016-02'""",
+    ),
     "pending_urls": (pending_urls, PENDING_SQL),
     "limit_pending": (
         limit_pending, f"SELECT uid, url FROM ({PENDING_SQL}) ORDER BY uid LIMIT 25"
@@ -178,14 +225,17 @@ QUERIES = {
     "scrape_corpus": (
         scrape_corpus,
         f"""SELECT month, uid, printf('%07d-%s', uid, md5(v.url)) AS fid,
-              CAST((r // {SIZE}) + 1 AS BIGINT) AS chunk_id, CAST({WORDS_SQL} AS INTEGER) AS word_count
+              CAST((r // {SIZE}) + 1 + coalesce(prev, 0) AS BIGINT) AS chunk_id, CAST({WORDS_SQL} AS INTEGER) AS word_count
             FROM (SELECT *, row_number() OVER (PARTITION BY month ORDER BY uid) - 1 AS r
                   FROM ({PENDING_SQL})) JOIN ({VISIBLE_SQL}) v ON page_id = uid
+            LEFT JOIN (SELECT month, max(uid // 100) AS prev FROM ({URLS_SQL})
+                       WHERE uid % 5 = 0 GROUP BY month) USING (month)
             WHERE text <> ''""",
     ),
     "archive_counts": (
         archive_counts,
-        f"SELECT archive, count(*) AS n_docs FROM ({ARCHIVES_SQL}) GROUP BY ROLLUP (archive)",
+        f"""SELECT archive, count(*) AS n_docs, grouping(archive) = 1 AS is_total
+            FROM ({ARCHIVES_SQL}) GROUP BY ROLLUP (archive)""",
     ),
     "update_counts": (
         update_counts,

@@ -10,7 +10,6 @@ from linkloom.operators import numbering, stats, tokens as K
 from linkloom.operators.pages import min_paragraph_words
 from linkloom.plans import corpus
 from linkloom.plans.link_queries import table
-from linkloom.plans.page_queries import quoted
 
 BATCH, LIMIT = 64, 3000
 
@@ -31,7 +30,13 @@ FROM (SELECT doc_id, len(l) AS n, unnest(range(1, len(l) + 1)) AS i, unnest(l) A
       FROM (SELECT doc_id, string_split(replace(text, E'.\n', E'.\n\n') || E'\nz', E'\n') AS l
             FROM documents))
 """
-TOKENS_SQL = f"regexp_extract_all(line, {quoted(K.WORD)})"
+# Written out for RE2, whose own white space is ASCII: words with their marks, or one other character
+# that is no white space of Unicode.
+WORD_SQL = (
+    r"'[\p{L}\p{M}\p{N}]+|[^\p{L}\p{M}\p{N}\x09-\x0d\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]'"
+)
+TOKENS_SQL = f"regexp_extract_all(line, {WORD_SQL})"
 
 
 def word_count(spark, d):
@@ -76,7 +81,7 @@ def encoder_tables(spark):
 
 def encoded(spark, d):
     vocab, merges = encoder_tables(spark)
-    return K.tokenize(documents(spark, d), "gpt2", vocab=vocab, merges=merges, eot=EOT)
+    return K.tokenize(documents(spark, d), "subwords", vocab=vocab, merges=merges, eot=EOT)
 
 
 def encode_subwords(spark, d):
@@ -84,6 +89,23 @@ def encode_subwords(spark, d):
     return kept.select("doc_id", "n_tokens", F.md5(F.array_join("ids", " ")).alias("ids_md5"))
 
 
+def unknown_symbols(spark, d):
+    """With a vocabulary that lacks two bytes: what is left, and what is missing."""
+    vocab, merges = encoder_tables(spark)
+    found = K.encode_subwords(documents(spark, d), vocab.where("token not in ('b', '.')"), merges)
+    ids = F.md5(F.array_join("ids", " "))
+    return found.select("doc_id", F.size("ids").cast("bigint").alias("n_ids"), ids.alias("ids_md5"), "n_unknown")
+
+
+def shard_content(spark, d):
+    """Encoded ids, packed: the documents of each shard in order, with their ids."""
+    path = F.format_string("parsed/%07d.txt", "doc_id").alias("path")
+    rows = encoded(spark, d).select(path, "ids", "n_tokens")
+    packed = K.pack_tokens(rows, LIMIT, batch_size=BATCH)
+    ids = F.md5(F.array_join("ids", " "))
+    return K.shard_rows(rows, packed).select("batch_id", "shard_id", "pos", ids.alias("ids_md5"))
+
+
 def _encode_sql() -> str:
     """Each merge, in order, as a replacement on the text's marked bytes.
 
@@ -135,24 +157,37 @@ def token_report(spark, d):
 
 LENGTHS_SQL = f"""
 SELECT printf('parsed/%07d.txt', doc_id) AS path,
-  len(regexp_extract_all(text, {quoted(K.WORD)})) + 1 AS n_tokens FROM documents
+  len(regexp_extract_all(text, {WORD_SQL})) + 1 AS n_tokens FROM documents
 """
-BATCHED_SQL = f"""
+def batched_sql(lengths: str) -> str:
+    return f"""
 SELECT path, n_tokens, r // {BATCH} AS batch_id, r % {BATCH} AS pos
-FROM (SELECT *, row_number() OVER (ORDER BY md5(path), path) - 1 AS r FROM ({LENGTHS_SQL}))
+FROM (SELECT *, row_number() OVER (ORDER BY md5(path), path) - 1 AS r FROM ({lengths}))
 """
-PACKED_SQL = f"""
+
+
+def packed_sql(batched: str) -> str:
+    return f"""
 WITH RECURSIVE docs AS (
   SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY pos) AS r
-  FROM ({BATCHED_SQL}) WHERE n_tokens >= 20),
+  FROM ({batched}) WHERE n_tokens >= 20),
 fold AS (
-  SELECT batch_id, r, path, n_tokens, n_tokens AS filled, 0 AS shard_id FROM docs WHERE r = 1
+  SELECT batch_id, r, pos, path, n_tokens, n_tokens AS filled, 0 AS shard_id FROM docs WHERE r = 1
   UNION ALL
-  SELECT n.batch_id, n.r, n.path, n.n_tokens,
+  SELECT n.batch_id, n.r, n.pos, n.path, n.n_tokens,
     CASE WHEN f.filled > {LIMIT} THEN n.n_tokens ELSE f.filled + n.n_tokens END,
     CASE WHEN f.filled > {LIMIT} THEN f.shard_id + 1 ELSE f.shard_id END
   FROM fold f JOIN docs n ON n.batch_id = f.batch_id AND n.r = f.r + 1)
-SELECT batch_id, CAST(shard_id AS BIGINT) AS shard_id, path, n_tokens FROM fold
+SELECT batch_id, CAST(shard_id AS BIGINT) AS shard_id, pos, path, n_tokens FROM fold
+"""
+
+
+BATCHED_SQL = batched_sql(LENGTHS_SQL)
+PACKED_SQL = packed_sql(BATCHED_SQL)
+ENCODED_SQL = f"SELECT printf('parsed/%07d.txt', doc_id) AS path, ids, len(ids) AS n_tokens FROM ({_encode_sql()})"
+SHARDS_SQL = f"""
+SELECT batch_id, shard_id, pos, md5(array_to_string(ids, ' ')) AS ids_md5
+FROM ({packed_sql(batched_sql(ENCODED_SQL))}) JOIN ({ENCODED_SQL}) USING (path)
 """
 
 QUERIES = {
@@ -183,8 +218,17 @@ QUERIES = {
         f"""SELECT doc_id, len(ids) AS n_tokens, md5(array_to_string(ids, ' ')) AS ids_md5
             FROM ({_encode_sql()}) WHERE len(ids) >= 20""",
     ),
+    "unknown_symbols": (
+        unknown_symbols,
+        f"""SELECT doc_id, len(known) AS n_ids, md5(array_to_string(known, ' ')) AS ids_md5,
+              len(ids) - 1 - len(known) AS n_unknown
+            FROM (SELECT doc_id, ids,
+                    list_filter(ids, lambda i: i NOT IN ({ord('b')}, {ord('.')}, {EOT})) AS known
+                  FROM ({_encode_sql()}))""",
+    ),
+    "shard_content": (shard_content, SHARDS_SQL),
     "batch_files": (batch_files, f"SELECT path, batch_id, pos FROM ({BATCHED_SQL})"),
-    "pack_tokens": (pack_tokens, PACKED_SQL),
+    "pack_tokens": (pack_tokens, f"SELECT batch_id, shard_id, path, n_tokens FROM ({PACKED_SQL})"),
     "token_corpus": (
         token_corpus,
         f"""SELECT batch_id, shard_id, count(*) AS n_docs, CAST(sum(n_tokens) AS BIGINT) AS n_tokens

@@ -50,8 +50,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Size check before broadcasting or collecting; reads no more than ``rows + 1`` rows."""
-    return df.limit(rows + 1).count() <= rows
+    """Size check before broadcasting or collecting; tasks send counts, not rows."""
+    return df.count() <= rows
 
 
 def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:

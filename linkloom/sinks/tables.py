@@ -5,14 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.operators.stats import new_counts, update_counts
+from linkloom.operators.stats import new_counts
+from linkloom.session import cut_lineage
 
 FILE_ROWS = 5_000_000
+TEXT_FILES = 64
 
 
 def _clustered(df: DataFrame, *order: str) -> DataFrame:
-    """Rows in order, cut into ranges of even size; file numbers follow the order."""
-    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+    """Rows in order, cut into ranges of even size; file numbers follow the order.
+
+    A range exchange runs its input once for a sample and once for the rows, so the input is made
+    once before.  For narrow rows only.
+    """
+    return cut_lineage(df).repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def write_url_lists(
@@ -49,14 +55,19 @@ def write_chunks(
 
 
 def write_text(df: DataFrame, path: str, key: str = "fid") -> None:
-    """Extracted text by month, added to what is there."""
-    _clustered(df, "month", key).write.mode("append").partitionBy("month").parquet(path)
+    """Extracted text by month, added to what is there; a month is spread over ``TEXT_FILES`` files."""
+    spread = F.pmod(F.xxhash64(key), F.lit(TEXT_FILES))
+    df.repartition("month", spread).write.mode("append").partitionBy("month").parquet(path)
 
 
 def write_token_shards(df: DataFrame, path: str, codec: str = "zstd") -> None:
-    """Shard rows ``(batch_id, shard_id, pos, ids)`` in order, a folder per batch."""
+    """Shard rows ``(batch_id, shard_id, pos, ids)``, a folder per batch.
+
+    A shard lies in one file, in order of ``pos``: its size is bounded by how shards are closed.
+    """
     (
-        _clustered(df, "batch_id", "shard_id", "pos")
+        df.repartition("batch_id", "shard_id")
+        .sortWithinPartitions("batch_id", "shard_id", "pos")
         .write.mode("overwrite")
         .option("compression", codec)
         .partitionBy("batch_id")
@@ -69,7 +80,13 @@ def write_counts(docs: DataFrame, cache: DataFrame, path: str, archive: str = "a
 
     ``path`` must differ from where ``cache`` is read: a table cannot replace itself.
     """
-    if new_counts(docs, cache, archive).isEmpty():
+    return add_counts(new_counts(docs, cache, archive), cache, path, archive)
+
+
+def add_counts(new: DataFrame, cache: DataFrame, path: str, archive: str = "archive") -> bool:
+    """The same for counts already made, as by ``count_new``; they are made once."""
+    fresh = cut_lineage(new.select(archive, "n_docs"))
+    if fresh.isEmpty():
         return False
-    update_counts(docs, cache, archive).write.mode("overwrite").parquet(path)
+    cache.select(archive, "n_docs").unionByName(fresh).write.mode("overwrite").parquet(path)
     return True

@@ -14,8 +14,15 @@ ARCHIVE_SCHEMA = "archive string, member string, content string"
 def read_archives(
     spark: SparkSession, path, glob: str | None = None, content: bool = True
 ) -> DataFrame:
+    """``(archive, member, content)`` of the tar files of a folder; see ``read_members``."""
+    return read_members(list_files(spark, path, glob), content)
+
+
+def read_members(paths: DataFrame, content: bool = True) -> DataFrame:
     """``(archive, member, content)`` of tar files, compressed or not (xz, bz2, gz).
 
+    ``paths`` has the addresses in its only column; files that are not in it are not opened.
+
     Archives are streamed front to back, one per task, and never unpacked to disk; the number
     of rows in flight is bound by their size.  ``content=False`` reads names only.
     """
@@ -53,4 +60,4 @@ def read_archives(
                 if rows:
                     yield emit(name, rows)
 
-    return list_files(spark, path, glob).mapInArrow(members, ARCHIVE_SCHEMA)
+    return paths.mapInArrow(members, ARCHIVE_SCHEMA)

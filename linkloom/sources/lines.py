@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from linkloom.functions.strings import year_month
-
-BROADCAST_BLOCKS = 200_000
+from linkloom.functions.strings import month_label, year_month
 
 
 def numbered_text(
@@ -41,22 +39,23 @@ def numbered_text(
         "_block",
         (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
     )
-    # Splits number at most one per file and one per task.
-    bound = len(lines.inputFiles()) + lines.rdd.getNumPartitions()
-    if bound <= BROADCAST_BLOCKS:
-        starts = F.broadcast(starts)
     return lines.join(starts, ["file", "_block"]).select(
         "file", (F.col("_id") + F.col("_shift")).alias("line_no"), "value"
     )
 
 
 def read_url_lists(spark: SparkSession, folder, glob: str = "*.txt") -> DataFrame:
-    """URL lists: ``(file, year, month, uid, url)``, where ``uid`` is the line number."""
+    """URL lists: ``(file, year, month_no, month, uid, url)``, where ``uid`` is the line number.
+
+    ``month`` is the label that state and archives go by, such as ``RS_2016-01``; ``year`` and
+    ``month_no`` give the order of sightings.
+    """
     lines = numbered_text(spark, folder, glob)
     return lines.select(
         "file",
         year_month(F.col("file"))["year"].alias("year"),
-        year_month(F.col("file"))["month"].alias("month"),
+        year_month(F.col("file"))["month"].alias("month_no"),
+        month_label(F.col("file")).alias("month"),
         F.col("line_no").alias("uid"),
         F.col("value").alias("url"),
     )

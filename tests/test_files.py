@@ -68,7 +68,7 @@ def test_line_numbers_across_splits(spark, tmp_path):
         rows = ["" if i % 50 == 3 else f"http://e.org/{n}/{i}/" + "y" * rng.randint(0, 80) for i in range(count)]
         name = f"RS_2016-0{n + 1}.xz.goodlinks.txt"
         (tmp_path / name).write_text("".join(r + "\n" for r in rows))
-        want |= {(n + 1, i): r for i, r in enumerate(rows)}
+        want |= {(f"RS_2016-0{n + 1}", i): r for i, r in enumerate(rows)}
     (tmp_path / "ignored.csv").write_text("x\n")
     spark.conf.set("spark.sql.files.maxPartitionBytes", 7000)
     try:
@@ -156,3 +156,51 @@ def test_texts_shards_and_counts(spark, tmp_path):
     written = spark.read.parquet(out)
     assert {tuple(r) for r in written.collect()} == {("a", 9), ("b", 1)}
     assert not tables.write_counts(docs, written, str(tmp_path / "d"))
+
+
+def test_cached_archives_are_not_opened(spark, tmp_path):
+    from linkloom.plans.corpus import count_new
+
+    for name in ("RS_2017-04-4_data.xz", "RS_2017-05-4_data.xz"):
+        with tarfile.open(tmp_path / name, "w:xz") as tar:
+            for i in range(3):
+                tar.addfile(tarfile.TarInfo(f"{i}.txt"), io.BytesIO(b""))
+    (tmp_path / "RS_2017-06-4_data.xz").write_bytes(b"broken")
+    broken = f"file:{tmp_path}/RS_2017-06-4_data.xz"
+    cache = spark.createDataFrame([(broken, 5)], "archive string, n_docs bigint")
+    new = count_new(spark, str(tmp_path), cache)
+    out = str(tmp_path / "counts")
+    assert tables.add_counts(new, cache, out)
+    assert sorted(r.n_docs for r in spark.read.parquet(out).collect()) == [3, 3, 5]
+    assert not tables.add_counts(count_new(spark, str(tmp_path), spark.read.parquet(out)), cache, out + "2")
+
+
+def test_sinks_run_their_input_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(1000, numPartitions=4).select(
+        F.lit("m").alias("month"), F.col("id").alias("uid"), F.concat(F.lit("u"), "id").alias("url"),
+        F.col("id").cast("string").alias("fid"), F.lit("archive").alias("archive"),
+    ).mapInArrow(count, "month string, uid long, url string, fid string, archive string")
+    cache = spark.createDataFrame([], "archive string, n_docs bigint")
+    for n, write_rows in enumerate((
+        lambda: tables.write_text(rows, str(tmp_path / "t")),
+        lambda: tables.write_url_lists(rows, str(tmp_path / "u")),
+        lambda: tables.write_counts(rows, cache, str(tmp_path / "c")),
+    ), 1):
+        write_rows()
+        assert seen.value == 1000 * n
+
+
+def test_files_without_a_month_are_rejects(spark):
+    from linkloom.plans.corpus import undated
+
+    line = '{"url": "http://e.org/a-page", "score": 5, "over_18": false}'
+    df = spark.createDataFrame([("d/RS_x.xz", 0, line), ("d/RS_2016-01.xz", 1, line)], "src_file string, line_no long, value string")
+    assert [(r.file, r.reason) for r in undated(df).collect()] == [("d/RS_x.xz", "no_month")]
+    assert [(r.year, r.uid) for r in link_corpus(df).collect()] == [(2016, 1)]

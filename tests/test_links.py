@@ -85,6 +85,9 @@ LINES = {
     '{"url": "%s"}{"url": "b"}' % GOOD: "undecodable",
     '{"url": "%s"}, {"url": "b"}' % GOOD: "undecodable",
     '{"url": "%s"}] [{"url": "b"}' % GOOD: "undecodable",
+    '{"url": "%s", "score": 3, "over_18": false},{}] junk' % GOOD: "undecodable",
+    '{"url": "%s", "score": 3, "over_18": false},{}]' % GOOD: "undecodable",
+    '{"url": "%s", "score": 3, "over_18": false},{"x": 1}],[{}' % GOOD: "undecodable",
     "{'url': '%s'}" % GOOD: "undecodable",
     '{"url": "%s"' % GOOD: "undecodable",
     "": "undecodable",

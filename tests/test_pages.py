@@ -130,6 +130,8 @@ def test_modes(spark):
         assert row.meta.word_count == (None if mode == "raw" else 4)
     with pytest.raises(ValueError):
         P.extract(df, "other")
+    for alias, mode in P.ALIASES.items():
+        assert P.with_meta(P.extract(df, alias), alias).first().meta.scraper == mode
 
 
 @pytest.mark.parametrize(

@@ -17,7 +17,7 @@ def plan(spark, name, sf=SF):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry_file.queries()))
+@pytest.mark.parametrize("name", sorted(n for s in entry_file.LIBRARY for n in s.QUERIES))
 def test_no_nested_loops(spark, name):
     text = plan(spark, name)
     assert "BroadcastNestedLoopJoin" not in text and "CartesianProduct" not in text
@@ -48,6 +48,18 @@ def test_url_queries_do_not_read_html(spark, name):
     assert scans and all("html" not in s for s in scans)
 
 
+def test_html_is_not_shuffled_by_scraping(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan(spark, "scrape_corpus")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    for line in text.splitlines():
+        if "Exchange hashpartitioning" in line:
+            assert "html" not in line
+
+
 def test_small_policy_joins_map_side(spark):
     text = plan(spark, "deny_domains")
     assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") >= 2

@@ -40,14 +40,69 @@ def test_batches(spark):
     assert sorted(rows) == sorted(again)
 
 
-def test_limit(spark, monkeypatch):
+def test_limit(spark):
     df = spark.range(10).withColumnRenamed("id", "uid")
     assert numbering.limit_pending(df).count() == 10
-    assert [r.uid for r in numbering.limit_pending(df, 2).collect()] == [0, 1]
-    monkeypatch.setattr(numbering, "TOP_ROWS", 1)
+    assert sorted(r.uid for r in numbering.limit_pending(df, 2).collect()) == [0, 1]
     assert sorted(r.uid for r in numbering.limit_pending(df, 7, rows=3).collect()) == list(range(7))
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 150_000])
+def test_limits_count_rows_without_a_number_first(spark, n):
+    df = spark.createDataFrame([(None, "a"), (7, "b"), (None, "c"), (-(10**18), "d"), (10**18, "e")], "uid long, url string")
+    got = sorted(r.url for r in numbering.limit_pending(df, n).collect())
+    assert got in {1: [["a"], ["c"]], 2: [["a", "c"]], 3: [["a", "c", "d"]], 4: [["a", "b", "c", "d"]]}.get(
+        n, [["a", "b", "c", "d", "e"]]
+    )
+
+
+def test_no_row_is_lost_without_an_order_value(spark):
+    df = spark.createDataFrame([("m", None), ("m", 3), (None, None), ("m", None)], "month string, uid long")
+    assert sorted(r.u for r in numbering.number_lines(df, "month", "uid", name="u").collect()) == [0, 0, 1, 2]
+    assert [r.chunk_id for r in numbering.assign_chunks(df, 10).collect()] == [1] * 4
+    paths = spark.createDataFrame([(None,), ("x",), (None,)], "path string")
+    assert sorted(r.pos for r in numbering.batch_files(paths, 10).collect()) == [0, 1, 2]
+    seen = spark.createDataFrame([("k", 2016, None, "f", 1), ("k", 2016, 1, "f", None), ("k", None, 2, "f", 3)],
+                                 "url_key string, year int, month int, file string, uid long")
+    assert sorted(r.seen_rank for r in numbering.first_seen_rank(seen).collect()) == [1, 2, 3]
+
+
+def test_lists_of_two_years_resume(spark, tmp_path):
+    """From files to state: labels tell the same month of two years apart, and a limit goes last."""
+    from linkloom.sources.lines import read_url_lists
+
+    for year in (2016, 2017):
+        (tmp_path / f"RS_{year}-01.xz.goodlinks.txt").write_text("".join(f"http://e.org/{year}/{i}\n" for i in range(6)))
+    urls = read_url_lists(spark, str(tmp_path))
+    assert {r.month for r in urls.collect()} == {"RS_2016-01", "RS_2017-01"}
+    paths = str(tmp_path / "state"), str(tmp_path / "data")
+    wanted = urls.select("month", "uid", "url")
+    state.resume(wanted.filter("month = 'RS_2016-01'"), *paths, fetched, size=4, max_urls=5)
+    assert state.pending_urls(urls, state.read_state(spark, paths[0])).count() == 7
+    # Keys of another type are written as the state has them.
+    state.resume(wanted.withColumn("uid", F.col("uid").cast("int")), *paths, fetched, size=4)
+    state.resume(wanted, *paths, fetched, size=4)
+    done = state.read_state(spark, paths[0])
+    assert sorted((r.month, r.uid) for r in done.collect()) == [(f"RS_{y}-01", i) for y in (2016, 2017) for i in range(6)]
+
+
+def test_scraping_twice_keeps_every_document(spark, tmp_path):
+    from linkloom.plans.corpus import scrape_corpus
+    from linkloom.sinks.tables import write_chunks
+
+    pages = spark.range(7).select(
+        F.lit("m").alias("month"), F.col("id").alias("uid"), F.concat(F.lit("http://e.org/"), "id").alias("url"),
+        F.concat(F.lit("<p>one two three four "), "id", F.lit("</p>")).alias("html"),
+    )
+    done = spark.createDataFrame([], state.STATE_SCHEMA)
+    path = str(tmp_path / "docs")
+    for part in ("uid < 4", "uid < 7"):
+        docs = scrape_corpus(pages.filter(part), done, size=2).cache()
+        write_chunks(docs, path)
+        done = done.union(docs.select("month", "uid", "chunk_id"))
+    assert sorted(r.uid for r in spark.read.parquet(path).collect()) == list(range(7))
+
+
 def url_frame(spark, n, month="RS_2016-01"):
     return spark.range(n).select(F.lit(month).alias("month"), F.col("id").alias("uid"), F.concat(F.lit("u"), "id").alias("url"))
 
@@ -121,4 +176,6 @@ def test_append_state_and_counts(spark):
     new = spark.createDataFrame([("m", 2), ("m", 3)], "month string, uid bigint")
     assert sorted(r.uid for r in state.append_state(old, new).collect()) == [1, 2, 3]
     docs = spark.createDataFrame([("a",), ("a",), ("b",)], "archive string")
-    assert {tuple(r) for r in stats.archive_counts(docs).collect()} == {("a", 2), ("b", 1), (None, 3)}
+    assert {tuple(r) for r in stats.archive_counts(docs).collect()} == {("a", 2, False), ("b", 1, False), (None, 3, True)}
+    unnamed = docs.union(spark.createDataFrame([(None,)], docs.schema))
+    assert {tuple(r) for r in stats.archive_counts(unnamed).collect() if r.archive is None} == {(None, 1, False), (None, 4, True)}

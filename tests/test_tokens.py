@@ -112,12 +112,28 @@ def test_encoding_equals_a_public_tokenizer(spark):
 
 
 def test_vocabulary_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr(K, "VOCAB_ROWS", 1)
+    monkeypatch.setattr(K, "VOCAB_BYTES", 200)
     vocab = spark.createDataFrame([("a", 1), ("b", 2)], "token string, id int")
     with pytest.raises(ValueError):
         K.encode_subwords(vocab.withColumn("text", F.lit("x")), vocab, spark.createDataFrame([(0, "a", "b")], "rank int, left string, right string"))
 
 
+def test_unknown_symbols_are_counted(spark):
+    vocab = spark.createDataFrame([("a", 0)], "token string, id int")
+    merges = spark.createDataFrame([], "rank int, left string, right string")
+    docs = spark.createDataFrame([("abba",), ("aa",), ("",), (None,)], "text string")
+    rows = {r.text: (r.ids, r.n_unknown) for r in K.encode_subwords(docs, vocab, merges).collect()}
+    assert rows == {"abba": ([0, 0], 2), "aa": ([0, 0], 0), "": ([], 0), None: (None, None)}
+
+
+def test_words_keep_their_marks(spark):
+    import unicodedata
+
+    text = unicodedata.normalize("NFKD", "été à Rio, n°5　中")
+    words = spark.createDataFrame([(text,)], "t string").select(K.word_tokens(F.col("t"))).first()[0]
+    assert [unicodedata.normalize("NFC", w) for w in words] == ["été", "à", "Rio", ",", "n", "°", "5", "中"]
+
+
 def test_length_filter_counts_the_marker(spark):
     df = spark.createDataFrame([(n, [1] * n) for n in (18, 19, 20)], "n int, ids array<int>")
     kept = K.min_tokens(K.with_lengths(K.append_eot(df, 0)))
@@ -158,17 +174,19 @@ def test_shards_keep_every_token(spark):
     encoded = K.with_lengths(spark.createDataFrame(docs, "path string, ids array<int>"))
     packed = K.pack_tokens(encoded, combine=200, min_length=20, batch_size=64)
     rows = K.shard_rows(encoded, packed)
-    arrays = K.shard_arrays(rows).collect()
+    by_shard = {}
+    for r in sorted(rows.collect(), key=lambda r: r.pos):
+        by_shard.setdefault((r.batch_id, r.shard_id), []).extend(r.ids)
     kept = [d for d in docs if len(d[1]) >= 20]
-    assert sum(len(r.ids) for r in arrays) == sum(len(d[1]) for d in kept)
+    assert sum(map(len, by_shard.values())) == sum(len(d[1]) for d in kept)
     order = {}
     for r in packed.collect():
         order.setdefault((r.batch_id, r.shard_id), []).append((r.pos, r.path))
     content = dict(docs)
-    for r in arrays:
-        paths = [p for _, p in sorted(order[r.batch_id, r.shard_id])]
-        assert r.ids == [x for p in paths for x in content[p]]
-        total = len(r.ids)
+    for shard, ids in by_shard.items():
+        paths = [p for _, p in sorted(order[shard])]
+        assert ids == [x for p in paths for x in content[p]]
+        total = len(ids)
         assert total - len(content[paths[-1]]) <= 200
     report = stats.token_report(encoded).first()
     assert (report.n_omitted, report.n_total) == (len(docs) - len(kept), len(docs))
