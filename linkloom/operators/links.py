@@ -95,11 +95,12 @@ def deny_domains(
     policy: DenyPolicy | DataFrame = DenyPolicy(),
     url: str = "url",
     salts: int = 32,
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Drop links to denied domains.
 
     A ``DenyPolicy`` is a plain filter.  A policy table ``(pattern, match_kind)`` of at most
-    ``BROADCAST_ROWS`` rows is anti-joined map-side, once per label count it holds.  A larger
+    ``broadcast_rows`` rows (by default ``BROADCAST_ROWS``) is anti-joined map-side, once per label count it holds.  A larger
     one is joined with the suffixes of the distinct hosts, and the links are anti-joined with
     the denied hosts; both sides are salted, so a host with a third of all links is spread.
     """
@@ -110,7 +111,7 @@ def deny_domains(
     links = df.withColumn("_host", url_host(F.col(url)))
     exact = patterns.filter("match_kind = 'host'").select(F.col("pattern").alias("_host"))
     below = patterns.filter("match_kind = 'registered'")
-    if has_at_most(patterns, BROADCAST_ROWS):
+    if has_at_most(patterns, BROADCAST_ROWS if broadcast_rows is None else broadcast_rows):
         links = links.join(F.broadcast(exact), "_host", "left_anti")
         depth = F.size(F.split("pattern", r"\.", -1))
         for (labels,) in below.select(depth).distinct().collect():

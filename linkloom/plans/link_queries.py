@@ -56,6 +56,15 @@ def deny_domains(spark, d):
     return links.deny_domains(urls(spark, d), policy_table(spark, POLICY))
 
 
+def deny_large_policy(spark, d):
+    """A policy with the hosts of a third of the pages, taken the way that broadcasts nothing."""
+    listed = urls(spark, d).filter("page_id % 3 = 1").select(
+        U.url_host(F.col("url")).alias("pattern"), F.lit("host").alias("match_kind")
+    )
+    policy = policy_table(spark, POLICY).union(listed)
+    return links.deny_domains(urls(spark, d), policy, broadcast_rows=0)
+
+
 def deny_extensions(spark, d):
     return links.deny_extensions(urls(spark, d), POLICY)
 
@@ -331,6 +340,11 @@ def url_unescape(spark, d):
 QUERIES = {
     "vet_links": (vet_links, f"SELECT page_id, url, {REASON_SQL} AS reject_reason FROM ({HOSTED_SQL})"),
     "deny_domains": (deny_domains, f"SELECT page_id, url FROM ({HOSTED_SQL}) WHERE NOT {DENIED_SQL}"),
+    "deny_large_policy": (
+        deny_large_policy,
+        f"""SELECT page_id, url FROM ({HOSTED_SQL}) WHERE NOT {DENIED_SQL}
+              AND h NOT IN (SELECT h FROM ({HOSTED_SQL}) WHERE page_id % 3 = 1)""",
+    ),
     "deny_extensions": (
         deny_extensions, f"SELECT page_id, url FROM pages WHERE NOT {EXTENSION_SQL}"
     ),
