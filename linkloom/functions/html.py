@@ -68,6 +68,11 @@ EVENT_ATTRIBUTE = r"""(?i)\son[a-z]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"']+)"""
 
 # Link pattern of the dump index reader (fixed value): greedy, so the last link of a line.
 GREEDY_LINK = r"""<a\s.*href=["'](\S+)["'][^>]*>\S*<\/a>"""
+# Finds the same, but from the first anchor of a line only: what follows a later one on the line follows
+# the first one too.  An anchor tag cut by the line's end is tried on its own.
+GREEDY_LINK_ONCE = (
+    r"""(?m)(?:(?:^|\G)(?>.*?<a\s)|<a\n).*href=["'](\S+)["'][^>]*>\S*<\/a>"""
+)
 # Every link of a page.
 EACH_LINK = r"""(?i)<a\s[^<>]*?href\s*=\s*["']([^"'>\s]+)["'][^<>]*>"""
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +30,17 @@ VOCAB_BYTES = 1 << 30
 UNKNOWN = -(2**31)
 # Symbols up to which a word is merged by plain search.
 SHORT_WORD = 24
-# Words a task remembers over its batches, and the longest it remembers.
-CACHED_WORDS, CACHED_LENGTH = 200_000, 64
+# Words a worker remembers, and the longest it remembers.
+CACHED_WORDS, CACHED_LENGTH = 500_000, 64
+_coded: dict[str, dict[str, list[int]]] = {}
+
+
+def _words_of(vocabulary: str) -> dict[str, list[int]]:
+    """What this worker has encoded with a vocabulary; it keeps one, over all its tasks."""
+    if vocabulary not in _coded:
+        _coded.clear()
+        _coded[vocabulary] = {}
+    return _coded[vocabulary]
 
 
 def nonblank_lines(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -80,9 +91,9 @@ def encode_subwords(
     words over batches.
     """
     shared = docs.sparkSession.sparkContext.broadcast(_lookup(vocab, merges))
-    known: dict[str, list[int]] = {}
+    vocabulary = uuid4().hex
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf("ids array<int>, n_unknown bigint")
     def encode(batch: pa.Array) -> pa.Array:
         import numpy as np
         import pyarrow.compute as pc
@@ -91,6 +102,7 @@ def encode_subwords(
             return np.concatenate([[0], np.cumsum(lengths.to_numpy(zero_copy_only=False))])
 
         ids, ranks = shared.value
+        known = _words_of(vocabulary)
         alphabet = byte_alphabet()
         words = batch.flatten().dictionary_encode()
         per_word = []
@@ -103,16 +115,27 @@ def encode_subwords(
                     known[word] = code
             per_word.append(code)
         coded = pa.array(per_word, pa.list_(pa.int32())).take(words.indices)
-        # Ends of the documents, first in words and then in ids.
+        # Ends of the documents, first in words and then in symbols; then those without an id go.
         word_ends = ends(pc.fill_null(batch.value_lengths(), 0))
-        offsets = pa.array(ends(coded.value_lengths())[word_ends], pa.int32())
-        return pa.ListArray.from_arrays(offsets, coded.flatten(), mask=batch.is_null())
+        symbol_ends = ends(coded.value_lengths())[word_ends]
+        flat = coded.flatten()
+        gone = np.concatenate([[0], np.cumsum(flat.to_numpy(zero_copy_only=False) == UNKNOWN)])
+        n_unknown = np.diff(gone[symbol_ends])
+        if gone[-1]:
+            flat = flat.filter(pc.not_equal(flat, UNKNOWN))
+        offsets = pa.array(symbol_ends - gone[symbol_ends], pa.int32())
+        return pa.StructArray.from_arrays(
+            [
+                pa.ListArray.from_arrays(offsets, flat, mask=batch.is_null()),
+                pa.array(n_unknown, pa.int64(), mask=batch.is_null().to_numpy(zero_copy_only=False)),
+            ],
+            ["ids", "n_unknown"],
+        )
 
     words = F.regexp_extract_all(F.col(text), F.lit("(?U)" + PRE_TOKEN), 0)
-    coded = docs.withColumn("ids", encode.asNondeterministic()(words))
-    known_ids = F.filter("ids", lambda i: i != UNKNOWN)
-    return coded.withColumns(
-        {"ids": known_ids, "n_unknown": (F.size("ids") - F.size(known_ids)).cast("bigint")}
+    coded = docs.withColumn("_coded", encode.asNondeterministic()(words))
+    return coded.withColumns({"ids": F.col("_coded.ids"), "n_unknown": F.col("_coded.n_unknown")}).drop(
+        "_coded"
     )
 
 

@@ -2,6 +2,7 @@
 
 import html
 import random
+import re
 import unicodedata
 
 import pytest
@@ -122,6 +123,29 @@ def test_links(spark):
     assert [r.link for r in P.page_links(df, H.EACH_LINK).collect()] == ["./one", "./two", "./three", "./four", "./five"]
 
 
+def test_greedy_links_equal_the_plain_pattern(spark):
+    rng = random.Random(7)
+    bits = ["<a ", "<a\n", "<a", "href=", 'href="', "href='", '"', "'", ">", "</a>", "x", "./y", " ", "\n", "<b>", "\t"]
+    bodies = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 40))) for _ in range(4000)]
+    bodies += ['<a href="x">y</a>' * 3, '<a q <a\nhref="x">y</a>', '<a href="x"\n>y</a> <a href="z">w</a>']
+    df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "i int, html string")
+    got = {}
+    for r in P.page_links(df).collect():
+        got.setdefault(r.i, []).append(r.link)
+    for i, body in enumerate(bodies):
+        assert got.get(i, []) == re.findall(H.GREEDY_LINK, body), body
+
+
+def test_links_of_a_minified_page_take_one_pass(spark):
+    import time
+
+    for bit in ('<a href="/some/page" class=x><b>with text</b></a> ', "<a href='/p'>a b</a>", "<a class=q>z</a> "):
+        df = page(spark, bit * (1_000_000 // len(bit)))
+        start = time.time()
+        P.page_links(df).collect()
+        assert time.time() - start < 5
+
+
 def test_modes(spark):
     df = page(spark, "<p>one two three four</p>").withColumn("url", F.lit("u"))
     for mode in P.SCRAPERS:
