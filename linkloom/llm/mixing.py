@@ -300,9 +300,11 @@ def mix_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, float
     """
     domains = sorted(targets)
     model = fit_domains(docs, labelled, domains, rows)
-    marked = written(with_posteriors(docs, model))
+    # Only posteriors are written, for the steps; for the result they are worked out once more, which
+    # costs less than to write and read all texts.
+    marked = written(with_posteriors(docs.select("text"), model).drop("text"))
     residuals = solve(marked, [targets[d] for d in domains], max_rate, domains.index(keep))
-    rated = with_rates(marked, residuals, len(domains), max_rate)
+    rated = with_rates(with_posteriors(docs, model), residuals, len(domains), max_rate)
     copies = copies_of(F.col("__rate"), "doc_id").cast("int")
     repeated = rated.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), copies)))
     return repeated.select(*docs.columns)

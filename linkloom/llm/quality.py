@@ -18,11 +18,11 @@ from pyspark.sql import functions as F
 from linkloom.llm.shared import values
 
 #: Labelled rows to learn from, of at most so many bytes each: the bound of what the driver collects.
-SAMPLE_ROWS, SAMPLE_TEXT_BYTES = 4000, 1 << 15
+SAMPLE_ROWS, SAMPLE_TEXT_BYTES = 8000, 1 << 15
 FOLDS, THRESHOLD = 5, 0.3
 STEP, FILTERS, WIDTH = 4, 24, 4  # bytes between windows of two steps; embedding width
 CHUNK = 1 << 14
-EPOCHS, BATCH, LEAST_STEPS = 12, 32, 600
+EPOCHS, BATCH, LEAST_STEPS = 8, 32, 600
 
 
 @dataclass
@@ -89,7 +89,7 @@ def probability(net: Network, steps: np.ndarray) -> float:
 def fit(texts: list[str | None], labels: list[int], seed: int = 1) -> Network:
     """Adam on the cross-entropy; both classes weigh the same.
 
-    Twelve passes, or more where few documents would give few steps.
+    Eight passes, or more where few documents would give few steps.
     """
     epochs = max(EPOCHS, -(-LEAST_STEPS * BATCH // len(texts)))
     net = Network.initial(seed)
