@@ -86,3 +86,27 @@ def test_wide_links_join_what_direct_ones_join(spark):
                 seen.add(p)
                 todo += [q for q in own if (p ^ q).bit_count() <= 6]
         assert seen == own
+
+
+def test_stages_take_edge_rows_and_empty_tables(spark):
+    from cases import EDGE_SCHEMA, edge_rows
+
+    rows = edge_rows()
+    docs = spark.createDataFrame(rows, EDGE_SCHEMA).repartition(3)
+    for k, (name, stage) in enumerate(C.STAGES):
+        for given in (docs, docs.limit(0)):
+            out = stage(spark, given, SF)
+            got = out.collect()
+            if k < 4:
+                assert out.columns == docs.columns, name
+                assert {tuple(r) for r in got} <= set(rows), name
+            else:
+                assert len(got) == given.count()
+                assert len({(r.shard, r.slot) for r in got}) == len(got)
+                assert {"uid", "fp", "text", "shard", "slot"} <= set(out.columns)
+    near = C.near_duplicates(spark, docs, SF).collect()
+    ids = [r.doc_id for r in near]
+    # The blank ones are one group, and so are the rows of one text; the smallest id stays.
+    assert sorted(i for i in ids if i in (1, 2, 3)) == [1]
+    # A no-break space is no white space here, so 6 is a word of its own.
+    assert ids.count(7) == 1 and ids.count(6) == 1 and -3 in ids and 4 not in ids and None not in ids
