@@ -179,3 +179,18 @@ def test_append_state_and_counts(spark):
     assert {tuple(r) for r in stats.archive_counts(docs).collect()} == {("a", 2, False), ("b", 1, False), (None, 3, True)}
     unnamed = docs.union(spark.createDataFrame([(None,)], docs.schema))
     assert {tuple(r) for r in stats.archive_counts(unnamed).collect() if r.archive is None} == {(None, 1, False), (None, 4, True)}
+
+
+def test_shared_folder_is_named_off_local_mode(spark):
+    from types import SimpleNamespace
+
+    from linkloom.session import shared_folder
+
+    def session(master, folder):
+        conf = SimpleNamespace(get=lambda key, default: folder if key == "spark.checkpoint.dir" else default)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    assert shared_folder(session("yarn", "hdfs://x/y/")) == "hdfs://x/y"
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            shared_folder(session(master, None))
