@@ -1,7 +1,7 @@
 """Secrets: fixed formats, and tokens that a battery of randomness tests takes for random.
 
 The battery looks at runs of characters that encodings are made of.  For each, an encoding is inferred
-(the smallest alphabet that holds it), and three tests of randomness are made over that alphabet:
+(the smallest alphabet that holds it; a run is also tested in its parts between signs), and three tests of randomness are made over that alphabet:
 chi-squared uniformity of the symbols, the number of runs above and below the middle of the alphabet,
 and the serial correlation of neighbours.  Fisher's method combines them: a random token passes.
 
@@ -42,6 +42,9 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _TOKEN = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_TOKEN)
+_CUTS = [
+    re.compile("[%s]{%d,}" % (own, MIN_TOKEN)) for own in ("A-Za-z0-9+/", "A-Za-z0-9_-", "A-Za-z0-9+", "A-Za-z0-9")
+]
 
 # Alphabets from small to large; the first that holds all of a token's symbols is its encoding.
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -134,22 +137,37 @@ def length_class(n: int) -> int:
     return int(math.log(n) / math.log(1.25))
 
 
+def token_ranges(token: str) -> list[tuple[int, int]]:
+    """The token and its parts of MIN_TOKEN characters or more, the widest first.
+
+    A secret may be joined to other things by signs that stand in one alphabet and not in another, so
+    the parts are those without the signs of base64url, without those of base64, and without all.
+    """
+    found = {(0, len(token))}
+    for cut in _CUTS:
+        found.update(m.span() for m in cut.finditer(token))
+    return sorted(found, key=lambda r: (r[0] - r[1], r[0]))
+
+
 def candidates(text: str) -> list[tuple[int, int, str, int, bool]]:
-    """(start, end, encoding, equal pairs, looks random) of the tokens put to the test."""
+    """(start, end, encoding, equal pairs, looks random) of the tokens put to the test.
+
+    Tokens of one run overlap; a run's wider ones come first.
+    """
     found = []
     for m in _TOKEN.finditer(text):
-        token = m[0].rstrip("=")
-        # Paths, ruled lines and words joined by one sign are writing; a digit or two cases are not.
-        encoding = encoding_of(token)
-        if encoding is None or encoding in ("digits", "letters", "lower") and token.isalpha() and (
-            token.islower() or token.isupper() or token.istitle()
-        ):
-            continue
-        counts: dict[str, int] = {}
-        for c in token:
-            counts[c] = counts.get(c, 0) + 1
-        fits = battery(token, encoding) >= ALPHA
-        found.append((m.start(), m.end(), encoding, equal_pairs(counts.values()), fits))
+        run = m[0].rstrip("=")
+        for a, b in token_ranges(run):
+            token = run[a:b]
+            encoding = encoding_of(token)
+            if encoding is None:
+                continue
+            counts: dict[str, int] = {}
+            for c in token:
+                counts[c] = counts.get(c, 0) + 1
+            fits = battery(token, encoding) >= ALPHA
+            end = m.end() if b == len(run) else m.start() + b
+            found.append((m.start() + a, end, encoding, equal_pairs(counts.values()), fits))
     return found
 
 

@@ -111,3 +111,35 @@ def test_edge_rows_and_table(spark):
             base = [s for s in r.spans.split(",") if s and not s.startswith("random")]
             assert hashlib.sha256(",".join(base).encode()).hexdigest() == r.base_sha256
     assert S.find_secrets(edge.limit(0)).collect() == []
+
+
+def put_to_test(text):
+    return {text[a:b] for a, b, *_ in S.candidates(text)}
+
+
+def test_parts_and_single_case_tokens_are_tested():
+    hook = "https://h.example/my-app/hook/Xk29fPq0LmZ8vT4sRb7NcY1dWe6Ga3Hu"
+    assert "Xk29fPq0LmZ8vT4sRb7NcY1dWe6Ga3Hu" in put_to_test(hook)
+    for secret in ("wJalrXUtnFEMI+K7MDENG+bPxRfiCYEXAMPLEKEY", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY="):
+        assert any(t.endswith(secret) for t in put_to_test("aws-key/" + secret))
+    assert "Xk29fPq0-LmZ8vT4s_Rb7NcY1dWe6Ga3Hu" in put_to_test("a+b/Xk29fPq0-LmZ8vT4s_Rb7NcY1dWe6Ga3Hu")
+    for n in (20, 44, 200):
+        token = random_token(random.Random(n), S.ALPHABETS["lower"], n)
+        assert put_to_test(f"see {token} here") == {token}
+
+
+def test_joined_and_single_case_tokens_are_reported(spark):
+    rng = random.Random(31)
+    rows, planted = docs_with_tokens()[0], {}
+    for i in range(2, 300, 10):
+        secret = random_token(rng, S.ALPHABETS["lower" if i % 20 == 2 else "base62"], 160 if i % 20 == 2 else 44)
+        text = rows[i][1] + (" " if i % 20 == 2 else " my-app/hook/") + secret
+        planted[i] = (len(text) - len(secret), len(text))
+        rows[i] = (i, text + " " + rows[i][1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.spans for r in S.find_secrets(docs).collect()}
+    for lower in (True, False):  # a path before a secret may be taken with it
+        own = {i: at for i, at in planted.items() if (i % 20 == 2) == lower}
+        spans = {i: [tuple(map(int, s.split(":")[1:])) for s in got[i].split(",") if s] for i in own}
+        found = sum(any(a - 12 <= c <= a and d == b for c, d in spans[i]) for i, (a, b) in own.items())
+        assert found >= 0.9 * len(own), (lower, found, spans)
