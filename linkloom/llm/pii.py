@@ -39,7 +39,10 @@ _LOOSE_AT = re.compile(
     r"[^\s@<>(),;\"']{1,64} ?(?:@|[\[(] ?at ?[\])]) ?[^\s@<>(),;\"']{1,64}(?: (?:dot|\.) [A-Za-z]{2,12})?",
     re.IGNORECASE,
 )
-_LOOSE_NUMBER = re.compile(r"(?<![0-9A-Za-z])[+(]{0,2}[0-9](?:[ ().,:/-]{0,3}[0-9]){6,24}(?![0-9A-Za-z])")
+# Runs of digit groups are found whole, in one pass, and cut between groups afterwards.
+_NUMBER_RUN = re.compile(r"(?<![0-9A-Za-z])[+(]{0,2}[0-9]++(?:[ ().,:/-]{1,3}+[0-9]++)*+")
+_GROUP = re.compile(r"[+(]{0,2}([0-9]++)")
+LEAST_DIGITS, MOST_DIGITS = 7, 19
 
 
 def luhn(digits: str) -> bool:
@@ -87,12 +90,22 @@ def formats(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def parts_of(text: str, start: int, end: int) -> list[tuple[int, int]]:
-    """All ranges between spaces of a run of numbers: neighbours may be one thing or several."""
-    gaps = [m.span() for m in re.finditer(" +", text[start:end])]
-    firsts = [start, *(start + b for _, b in gaps)]
-    lasts = [*(start + a for a, _ in gaps), end]
-    return [(a, b) for i, a in enumerate(firsts) for b in lasts[i:]]
+def ranges_of(text: str, start: int, end: int):
+    """(start, end, digits) of the ranges of consecutive groups with 7 to 19 digits in a run of numbers.
+
+    Neighbours may be one thing or several.  A range has 19 groups at most, so this is linear in the run.
+    """
+    groups = [(m.start(), m.end(), m.end() - m.start(1)) for m in _GROUP.finditer(text, start, end)]
+    if text[end : end + 1].isascii() and text[end : end + 1].isalpha():
+        groups.pop()  # the last group goes on as a word
+    for i, (a, _, _) in enumerate(groups):
+        n = 0
+        for _, b, digits in groups[i : i + MOST_DIGITS]:
+            n += digits
+            if n > MOST_DIGITS:
+                break
+            if n >= LEAST_DIGITS:
+                yield a, b, n
 
 
 def candidates(text: str) -> list[tuple[str, int, int]]:
@@ -102,11 +115,9 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
         found += [("email", *m.span()) for m in _LOOSE_AT.finditer(text)]
     if not _DIGIT.search(text):
         return found
-    for m in _LOOSE_NUMBER.finditer(text):
-        for a, b in parts_of(text, *m.span()):
-            part = text[a:b]
-            n = len(_only_digits(part))
-            if part.count(".") >= 3:
+    for m in _NUMBER_RUN.finditer(text):
+        for a, b, n in ranges_of(text, *m.span()):
+            if text.count(".", a, b) >= 3:
                 found.append(("ip", a, b))
             if 12 <= n <= 19:
                 found.append(("card", a, b))

@@ -107,3 +107,23 @@ def test_edge_rows_and_table(spark):
             want.append((r.doc_id, *n, hashlib.sha256(listed(spans).encode()).hexdigest()))
         assert sorted((tuple(r)[:6] for r in got), key=repr) == sorted(want, key=repr)
     assert P.find_pii(edge.limit(0)).collect() == []
+
+
+def test_neighbours_in_a_run_are_proposed():
+    proposed = lambda text: {(k, text[a:b]) for k, a, b in P.candidates(text)}
+    cards = ["4111 1111 1111 1111", "5500 0000 0000 0004", "3400-0000-0000-009", "6011000000000004"] * 5
+    assert {("card", c) for c in cards} <= proposed("pay " + " ".join(cards) + " now")
+    phones = [f"(212) 555-01{i}" for i in range(23, 60)]
+    for between in (" ", ", ", "/"):
+        assert {("phone", p) for p in phones} <= proposed("tel " + between.join(phones))
+    assert ("phone", "555-0123 45") not in proposed("tel 212 555-0123 45th")
+
+
+def test_grouped_cards_on_one_line_are_added(spark):
+    rows = pii_docs()
+    line = "4111 1111 1111 1111 5500 0000 0000 0004 4012 8888 8888 1881"
+    head = "the people walk near water every morning"
+    docs = spark.createDataFrame([*rows, (3001, f"{head} {line} {head}")], "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in P.find_pii(docs.repartition(4)).collect()}[3001]
+    at = len(head) + 1
+    assert spans == ",".join(f"card:{at + 20 * i}:{at + 20 * i + 19}" for i in range(3))
