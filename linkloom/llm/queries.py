@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators and the pipeline, with SQL forms where SQL has one."""
+"""Registered queries of the operators and the pipeline, with SQL forms where SQL has one."""
 
 from __future__ import annotations
 
@@ -11,11 +11,13 @@ from linkloom.llm.exact import exact_groups
 from linkloom.llm.mixing import label_domains, mixing_rates
 from linkloom.llm.pii import find_pii
 from linkloom.llm.quality import score_quality
+from linkloom.llm.ranking import search
 from linkloom.llm.secrets import find_secrets
 from linkloom.llm.sharding import shard_documents
 from linkloom.llm.simhash import simhash_groups
 from linkloom.llm.substring import repeated_passages
 from linkloom.llm.urlfilter import judge_urls, url_host
+from linkloom.llm.whitening import whiten
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -156,6 +158,41 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents),
+q AS (
+  SELECT row_number() OVER () AS i, item_id, unnest(list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS term
+  FROM benchmark),
+total AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM d WHERE len(w) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d)
+       WHERE term IN (SELECT term FROM q) GROUP BY r, term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+            FROM tf, total GROUP BY term, docs),
+worth AS (
+  SELECT r, term, weight * ((1000000000 * tf)
+           // (1000 * tf + 12 * (75 + (25 * len(w) * docs) // terms))) AS worth
+  FROM tf JOIN weights USING (term) JOIN d USING (r), total),
+scored AS (SELECT i, item_id, r, doc_id, CAST(sum(worth) AS BIGINT) AS score
+           FROM q JOIN worth USING (term) JOIN d USING (r) GROUP BY i, item_id, r, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, r) AS n
+           FROM scored WHERE score > 0)
+SELECT item_id, CAST(n AS INTEGER) AS rank, doc_id, score FROM ranked WHERE n <= 20
+"""
+
 QUERIES = {
     "op1_secrets": (op1_secrets, None),
     "op2_exact_groups": (op2_exact_groups, OP2_SQL),
@@ -167,5 +204,7 @@ QUERIES = {
     "op8_decontaminate": (op8_decontaminate, OP8_SQL),
     "op9_url_verdicts": (op9_url_verdicts, OP9_SQL),
     "op10_repeated_passages": (op10_repeated_passages, None),
+    "op12_whitening": (op12_whitening, None),
+    "op13_ranked_search": (op13_ranked_search, OP13_SQL),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

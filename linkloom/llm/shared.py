@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from weakref import WeakKeyDictionary
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from linkloom.session import shared_folder
 
@@ -14,12 +17,40 @@ from linkloom.session import shared_folder
 WHITE = b" \t\n\x0b\x0c\r"
 
 
-def written(df: DataFrame) -> DataFrame:
+_PATHS: WeakKeyDictionary = WeakKeyDictionary()
+_FOLDER: ContextVar[str | None] = ContextVar("folder", default=None)
+
+
+def written(df: DataFrame, *partitions: str) -> DataFrame:
     """Write to the shared folder and read back: computed once, and safe from lost executors."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = f"{_FOLDER.get() or shared_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.partitionBy(*partitions).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _PATHS[table] = path
+    return table
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
+def remove(table: DataFrame) -> None:
+    """Delete a table that ``written`` returned and that nothing reads any more."""
+    _delete(table.sparkSession, _PATHS.pop(table))
+
+
+@contextmanager
+def own_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside go to one folder, which is deleted at the end."""
+    folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    token = _FOLDER.set(folder)
+    try:
+        yield
+    finally:
+        _FOLDER.reset(token)
+        _delete(spark, folder)
 
 
 def rows_of_task() -> Iterator[int]:
