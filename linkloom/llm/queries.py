@@ -16,6 +16,7 @@ from linkloom.llm.secrets import find_secrets
 from linkloom.llm.sharding import shard_documents
 from linkloom.llm.simhash import simhash_groups
 from linkloom.llm.substring import repeated_passages
+from linkloom.llm.suffixes import repeated_bytes
 from linkloom.llm.urlfilter import judge_urls, url_host
 from linkloom.llm.whitening import whiten
 
@@ -158,6 +159,29 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op11_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT r, doc_id, i, substr(h, 2 * i + 1, 200) AS s
+      FROM (SELECT *, unnest(range(0, len(h) // 2 - 99)) AS i FROM d WHERE len(h) >= 200)),
+later AS (SELECT r, i FROM w QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1),
+marked AS (SELECT r, i, coalesce(i > lag(i) OVER (PARTITION BY r ORDER BY i) + 100, true) AS new FROM later),
+runs AS (SELECT r, min(i) AS lo, max(i) + 100 AS hi
+         FROM (SELECT r, i, sum(new::INT) OVER (PARTITION BY r ORDER BY i) AS g FROM marked) GROUP BY r, g),
+gaps AS (SELECT r, lo, hi, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY lo), 0) AS past FROM runs),
+cut AS (SELECT r, count(*) AS n_spans, CAST(sum(hi - lo) AS BIGINT) AS n_removed,
+               string_agg(substr(h, 2 * past + 1, 2 * (lo - past)), '' ORDER BY lo)
+                 || substr(any_value(h), 2 * max(hi) + 1) AS kept
+        FROM gaps JOIN d USING (r) GROUP BY r)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN cut USING (r)
+"""
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
 
@@ -204,6 +228,7 @@ QUERIES = {
     "op8_decontaminate": (op8_decontaminate, OP8_SQL),
     "op9_url_verdicts": (op9_url_verdicts, OP9_SQL),
     "op10_repeated_passages": (op10_repeated_passages, None),
+    "op11_repeated_bytes": (op11_repeated_bytes, OP11_SQL),
     "op12_whitening": (op12_whitening, None),
     "op13_ranked_search": (op13_ranked_search, OP13_SQL),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
