@@ -10,6 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
+
+from linkloom.session import cut_lineage
 
 BUCKET_ROWS = 1_000_000
 
@@ -86,9 +89,54 @@ def _coarse_range() -> Column:
     return F.shiftright(F.col("_bucket"), COARSE_BITS)
 
 
-def range_bucket(number: Column, rows: int = BUCKET_ROWS) -> Column:
-    """Bucket of an integer id: at most ``rows`` distinct ids in each."""
-    return F.floor(number / rows)
+# Sub-buckets of the rows without an id.
+NULL_BUCKETS = 4096
+_LEAST = -(2**63)
+
+
+def range_bucket(number: Column, rows: int = BUCKET_ROWS, spread: Column | None = None) -> Column:
+    """Bucket of an integer id: at most ``rows`` distinct ids in each.
+
+    ``spread`` is a hash that deals rows without an id to buckets before all others, where any order
+    among them will do.
+    """
+    bucket = F.floor(number / rows)
+    if spread is None:
+        return bucket
+    return F.coalesce(bucket, F.lit(_LEAST) + F.pmod(spread, F.lit(NULL_BUCKETS)))
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of what can be hashed in a row."""
+    plain = [f.name for f in df.schema if isinstance(f.dataType, AtomicType)]
+    return F.xxhash64(*plain)
+
+
+def ranked_evenly(
+    df: DataFrame, by: list[str], order: list[str], name: str = "rank0", partitions: int | None = None
+) -> DataFrame:
+    """The same ranks for any order columns and any skew: equal and missing values are spread as well.
+
+    Rows are dealt out by ranges that Spark draws from a sample of (by, order, random number), so that
+    rows of equal order come in any order and fill several tasks.  They are written once in that order
+    to the shared folder; a row's rank is its place in its task and the rows of its group in the tasks
+    before, which a table with a row for each group and task tells.
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*by, *order, "_salt"]
+    dealt = df.withColumn("_salt", F.rand(17)).repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # A task's rows are numbered in their order; the number of the task is in the high bits.
+    held = cut_lineage(dealt.drop("_salt").withColumn("_id", F.monotonically_increasing_id()))
+    held = held.withColumn("_task", F.shiftright("_id", 33))
+    runs = held.groupBy(*by, "_task").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*by).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    starts = runs.select(*(F.col(c).alias(f"_of_{c}") for c in (*by, "_task")), (before - F.col("_first")).alias("_shift"))
+    same = F.col("_task") == F.col("_of__task")
+    for column in by:
+        same = same & F.col(column).eqNullSafe(F.col(f"_of_{column}"))
+    rank = (F.col("_id") + F.col("_shift")).cast("bigint")
+    return held.join(starts, same).select(*df.columns, rank.alias(name))
 
 
 def hash_bucket(text: Column, digits: int = 3) -> Column:
@@ -100,7 +148,7 @@ def number_lines(
     df: DataFrame, file: str, order: str, rows: int = BUCKET_ROWS, name: str = "uid"
 ) -> DataFrame:
     """0-based line number per file along an integer order column."""
-    return ranked(df, [file], range_bucket(F.col(order), rows), [order], name)
+    return ranked(df, [file], range_bucket(F.col(order), rows, row_hash(df)), [order], name)
 
 
 def assign_chunks(
@@ -110,13 +158,16 @@ def assign_chunks(
     by: str = "month",
     order: str = "uid",
     rows: int = BUCKET_ROWS,
+    spread: Column | None = None,
 ) -> DataFrame:
     """Cut each group into chunks of ``size``; ids go on after ``prev``.
 
     ``prev`` is one number, or a table ``(by, prev)`` with the last chunk id of each group.
+    ``spread`` is the hash that deals out rows without an order value; by default that of the row.
     """
     last = prev.select(by, "prev") if isinstance(prev, DataFrame) else None
-    chunked = ranked(df, [by], range_bucket(F.col(order), rows), [order], "_rank0", last)
+    bucket = range_bucket(F.col(order), rows, row_hash(df) if spread is None else spread)
+    chunked = ranked(df, [by], bucket, [order], "_rank0", last)
     before = F.lit(prev) if last is None else F.coalesce(F.col("prev"), F.lit(0))
     chunk = F.floor(F.col("_rank0") / size) + 1 + before
     return chunked.select(*df.columns, chunk.cast("bigint").alias("chunk_id"))
@@ -161,15 +212,22 @@ def order_sources(df: DataFrame, *columns: str) -> DataFrame:
     return df.orderBy(*columns)
 
 
+# Up to so many rows a limit is taken from the heaps that tasks keep of their least rows.
+HEAP_ROWS = 100_000
+
+
 def limit_pending(
     df: DataFrame, n: int = -1, order: str = "uid", rows: int = BUCKET_ROWS
 ) -> DataFrame:
-    """The first ``n`` rows along an integer ``order``; -1 is no limit.  Goes after the anti-join.
+    """The first ``n`` rows along ``order``; -1 is no limit.  Goes after the anti-join.
 
-    A filter on the rank at any ``n``, so that rows without an order value count alike, and first.
+    Rows without an order value come first.  A small limit keeps ``n`` rows in each task and merges
+    them.  A larger one filters on the rank.
     """
     if n == -1:
         return df
-    bucket = range_bucket(F.col(order), rows)
+    if n <= HEAP_ROWS:
+        return df.orderBy(F.col(order).asc_nulls_first()).limit(n)
+    bucket = range_bucket(F.col(order), rows, row_hash(df))
     numbered = ranked(df, [], bucket, [order], "_rank0", coarse=_coarse_range())
     return numbered.filter(F.col("_rank0") < n).drop("_rank0")

@@ -80,8 +80,11 @@ def main_text(pages: DataFrame, html: str = "html") -> DataFrame:
     return found.withColumn("word_count", word_count(F.col("text")))
 
 
-def clean_html(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Raw mode: cleaned HTML of the pages whose main text is not empty; no word count."""
+def clean_html(pages: DataFrame, html: str = "html", keep: bool = False) -> DataFrame:
+    """Raw mode: cleaned HTML of the pages whose main text is not empty; no word count.
+
+    With ``keep`` the other pages stay, with a null text.
+    """
     rest = [c for c in pages.columns if c != html]
     tagless = pages.withColumn("_body", H.body_lines(F.col(html)))
     # A character that no entity can hold settles it; otherwise entities are looked into.
@@ -89,10 +92,10 @@ def clean_html(pages: DataFrame, html: str = "html") -> DataFrame:
     looked = tagless.withColumn("_sure", sure).withColumn(
         "_plain", html_unescape(F.when(~F.col("_sure"), F.col("_body")))
     )
-    kept = looked.filter(F.col("_sure") | ~is_blank(F.col("_plain")))
-    return kept.select(*rest, H.cleaned_html(F.col(html)).alias("text")).withColumn(
-        "word_count", F.lit(None).cast("bigint")
-    )
+    visible, text = F.col("_sure") | ~is_blank(F.col("_plain")), H.cleaned_html(F.col(html))
+    found = looked if keep else looked.filter(visible)
+    text = F.when(visible, text) if keep else text
+    return found.select(*rest, text.alias("text")).withColumn("word_count", F.lit(None).cast("bigint"))
 
 
 SCRAPERS = {"raw": clean_html, "paragraphs": paragraph_text, "visible": main_text}
@@ -113,6 +116,12 @@ def extract(pages: DataFrame, mode: str = "visible") -> DataFrame:
     return nonempty_text(SCRAPERS[mode_name(mode)](pages))
 
 
+def extract_all(pages: DataFrame, mode: str = "visible") -> DataFrame:
+    """The same with a row for every page; the text of a page without any is null or blank."""
+    name = mode_name(mode)
+    return clean_html(pages, keep=True) if name == "raw" else SCRAPERS[name](pages)
+
+
 def with_meta(df: DataFrame, mode: str, url: str = "url", elapsed: str | None = None) -> DataFrame:
     """Add ``meta``: url, word count (null in raw mode), elapsed seconds and mode name."""
     mode = mode_name(mode)

@@ -11,13 +11,17 @@ from linkloom.operators.dedup import dedupe_urls, keep_first, split_unparsable
 from linkloom.functions.urls import with_url_key
 from linkloom.operators.links import good_links, parse_submissions
 from linkloom.operators.numbering import BUCKET_ROWS, assign_chunks
-from linkloom.operators.pages import extract, main_text, nonempty_text, with_meta, with_paragraphs
+from linkloom.operators.pages import extract_all, main_text, nonempty_text, with_meta, with_paragraphs
 from linkloom.operators.policy import DenyPolicy
 from linkloom.operators.state import last_chunks, pending_members, pending_urls
 from linkloom.operators.stats import count_archives, data_archives, pending_archives
 from linkloom.sources.archives import read_members
 from linkloom.sources.files import list_files
 from linkloom.operators.tokens import COMBINE, FILES_PER_BATCH, MIN_LENGTH, pack_tokens
+from linkloom.session import has_at_most
+
+# Keys of done URLs that are broadcast at most.
+STATE_ROWS = 5_000_000
 
 
 def undated(df: DataFrame, file: str = "src_file") -> DataFrame:
@@ -75,15 +79,21 @@ def scrape_corpus(
 ) -> DataFrame:
     """Landed pages ``(month, uid, url, html)`` to documents with id, metadata and chunk.
 
-    Chunks are cut over the keys of the pending URLs, before extraction, as documents without
-    content still count, and go on after the last chunk of each month in ``state``, so that a
-    second run adds to the first one's folders.  Text is extracted where the pages are read; the
-    join with the chunks, which also drops what is done, moves texts and no ``html``.
+    Chunks are cut over all pending URLs, as documents without content still count, and go on after the
+    last chunk of each month in ``state``, so that a second run adds to the first one's folders.  Text is
+    extracted where the pages are read, and what is numbered is the text: no ``html`` is moved.  Pages
+    that are done are dropped before extraction where their keys fit a broadcast, else right behind it.
+    A page without a month or id is in no state, so it is pending, and is numbered with the others.
     """
-    pending = pending_urls(landed.select("month", "uid"), state)
-    chunks = assign_chunks(pending, size, last_chunks(state), rows=rows)
-    texts = with_meta(extract(landed, mode), mode).select("month", "uid", "url", "text", "meta")
-    docs = texts.join(chunks, ["month", "uid"])
+    if has_at_most(state, STATE_ROWS):
+        pending = pending_urls(landed, F.broadcast(state))
+        texts = extract_all(pending, mode)
+    else:
+        texts = pending_urls(extract_all(landed, mode), state)
+    texts = with_meta(texts, mode).select("month", "uid", "url", "text", "meta")
+    # The hash is of the URL alone: a column of the text would have pages extracted for the counts too.
+    spread = F.xxhash64("url")
+    docs = nonempty_text(assign_chunks(texts, size, last_chunks(state), rows=rows, spread=spread))
     return docs.select(
         "month", "uid", doc_fid(F.col("uid"), F.col("url")).alias("fid"), "text", "meta", "chunk_id"
     )

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions import strings as S
 from linkloom.functions import urls as U
 from linkloom.functions.arrow import html_unescape
-from linkloom.operators import dedup, links, numbering
+from linkloom.operators import dedup, links, numbering, seen
 from linkloom.operators.policy import DenyPolicy, policy_table
+from linkloom.session import shared_folder
 
 # The test hosts are on no default list, so the queries bring a policy of their own.
 POLICY = DenyPolicy(
@@ -283,6 +286,16 @@ def dedupe_urls(spark, d):
     return dedup.dedupe_urls(url_lists(spark, d)).select("month", "file", "uid", "url")
 
 
+def dedupe_by_month(spark, d):
+    """The lists month by month, each run against the keys that earlier ones have left."""
+    name, folder = f"seen_{uuid.uuid4().hex}", f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    seen.create_seen(spark, name, folder, buckets=8)
+    lists = url_lists(spark, d)
+    for month in (1, 2, 3):
+        seen.dedupe_run(lists.where(F.col("month") == month), name, f"2016-{month:02d}")
+    return spark.table(name).select("month", "file", "uid", "url")
+
+
 def dedupe_host_path(spark, d):
     return dedup.dedupe_urls(url_lists(spark, d), "host_path").select("month", "file", "uid", "url")
 
@@ -385,6 +398,10 @@ QUERIES = {
     "dedupe_urls": (
         dedupe_urls, f"SELECT month, file, uid, url FROM ({RANKED_SQL}) WHERE n = 1"
     ),
+    "dedupe_by_month": (
+        dedupe_by_month,
+        f"SELECT CAST(month AS INTEGER) AS month, file, uid, url FROM ({RANKED_SQL}) WHERE n = 1",
+    ),
     "dedupe_host_path": (
         dedupe_host_path, f"SELECT month, file, uid, url FROM ({RANKED_SQL}) WHERE n_host_path = 1"
     ),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from linkloom.functions.strings import doc_fid
@@ -9,6 +11,8 @@ from linkloom.operators import numbering, state, stats
 from linkloom.plans import corpus
 from linkloom.plans.link_queries import table
 from linkloom.plans.page_queries import VISIBLE_SQL, WORDS_SQL
+from linkloom.session import shared_folder
+from linkloom.sinks.members import bucketed_pending, extract_bucketed, write_bucketed
 
 MONTH_SQL = "printf('RS_2016-%02d', page_id % 3 + 1)"
 # Chunks of 20 and number ranges of 50 ids: small, so that many buckets take part.
@@ -128,6 +132,50 @@ def scrape_corpus(spark, d):
     return docs.select("month", "uid", "fid", "chunk_id", F.col("meta.word_count").alias("word_count"))
 
 
+def scrape_unlisted(spark, d):
+    """Pages of which some have no month and some no line number: all are documents."""
+    known = landed(spark, d).withColumns({
+        "month": F.when(F.col("uid") % 10 != 3, F.col("month")), "uid": F.when(F.col("uid") % 7 != 2, F.col("uid")),
+    })
+    docs = corpus.scrape_corpus(known, done_urls(spark, d), size=SIZE, rows=ROWS)
+    return docs.select("month", "uid", F.col("meta.url").alias("url"))
+
+
+def _bucketed(spark, d) -> tuple[str, str, str]:
+    """Members and texts as bucketed tables of this call, and where they are."""
+    folder, name = f"{shared_folder(spark)}/{uuid.uuid4().hex}", f"members_{uuid.uuid4().hex}"
+    texts = done_members(spark, d).select("*", F.lit(None).cast("string").alias("text"), F.lit(None).cast("bigint").alias("word_count"))
+    write_bucketed(members(spark, d), name, f"{folder}/members", buckets=8)
+    write_bucketed(texts, f"{name}_texts", f"{folder}/texts", buckets=8)
+    return name, f"{name}_texts", folder
+
+
+def bucketed_members(spark, d):
+    """The anti-join of members and texts that moves neither."""
+    members_table, texts, _ = _bucketed(spark, d)
+    return bucketed_pending(spark, members_table, texts).select("month", "fid")
+
+
+def extract_buckets(spark, d):
+    """A run that extracts what is pending into the table of texts, and one that finds nothing to do."""
+    members_table, texts, folder = _bucketed(spark, d)
+    extract_bucketed(spark, members_table, texts, f"{folder}/texts", 8)
+    if extract_bucketed(spark, members_table, texts, f"{folder}/texts", 8):
+        raise AssertionError("a second run extracted members again")
+    return spark.table(texts).where("text is not null").select("month", "fid", "text", "word_count")
+
+
+def number_evenly(spark, d):
+    """Numbers by ranges drawn from a sample: few different order values, some missing."""
+    docs = table(spark, d, "documents").select("source", (F.col("doc_id") / 64).cast("long").alias("line"))
+    docs = docs.withColumn("line", F.when(F.col("line") % 5 != 2, F.col("line")))
+    ranks = numbering.ranked_evenly(docs, ["source"], ["line"], "uid")
+    # Rows of one value come in any order, so their numbers are told as a range.
+    return ranks.groupBy("source", "line").agg(
+        F.min("uid").alias("first"), F.max("uid").alias("last"), F.countDistinct("uid").alias("n")
+    )
+
+
 def archives(spark, d):
     docs = table(spark, d, "documents")
     name = F.concat(F.lit("scraped/"), "source", F.lit("_data.xz"))
@@ -232,6 +280,26 @@ QUERIES = {
                        WHERE uid % 5 = 0 GROUP BY month) USING (month)
             WHERE text <> ''""",
     ),
+    "scrape_unlisted": (
+        scrape_unlisted,
+        f"""SELECT CASE WHEN page_id % 10 <> 3 THEN {MONTH_SQL} END AS month,
+              CASE WHEN page_id % 7 <> 2 THEN page_id END AS uid, url
+            FROM ({VISIBLE_SQL})
+            WHERE text <> '' AND (page_id % 10 = 3 OR page_id % 7 = 2 OR page_id % 5 <> 0)""",
+    ),
+    "bucketed_members": (bucketed_members, f"SELECT month, fid FROM ({MEMBERS_SQL}) WHERE NOT done"),
+    "extract_buckets": (
+        extract_buckets,
+        f"""SELECT month, fid, text, {WORDS_SQL} AS word_count FROM ({MEMBERS_SQL})
+            WHERE NOT done AND text <> ''""",
+    ),
+    "number_evenly": (
+        number_evenly,
+        """SELECT source, line, min(uid) AS first, max(uid) AS last, count(DISTINCT uid) AS n
+           FROM (SELECT source, line, row_number() OVER (PARTITION BY source ORDER BY line NULLS FIRST) - 1 AS uid
+                 FROM (SELECT source, CASE WHEN doc_id // 64 % 5 <> 2 THEN doc_id // 64 END AS line FROM documents))
+           GROUP BY source, line""",
+    ),
     "archive_counts": (
         archive_counts,
         f"""SELECT archive, count(*) AS n_docs, grouping(archive) = 1 AS is_total

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.sources.files import list_files, open_stream
 from linkloom.sources.lines import numbered_text
+from linkloom.sources.xz import read_xz_lines
 
 LINES_PER_BATCH = 4096
 DUMP_SCHEMA = "src_file string, line_no bigint, value string"
@@ -45,31 +48,32 @@ def read_submission_lines(spark: SparkSession, paths: list[str] | str) -> DataFr
     """``(src_file, line_no, value)`` of dumps, blank lines included.
 
     Gzip, bzip2 and plain text go through Spark's own reader (bzip2 and plain text are read in
-    splits); xz, for which Spark has no codec, is streamed, one file per task.
+    splits); xz, for which Spark has no codec, is read by the blocks of its index, a task for each
+    range of blocks.  A bzip2 dump under another ending is streamed, one file per task.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     routed: dict[str, list[str]] = {}
     for path in paths:
         codec = codec_of(path)
         native = codec == "text" or path.endswith(".bz2")
-        routed.setdefault("text" if native else "stream", []).append(path)
+        routed.setdefault("text" if native else "xz" if codec == "xz" else "stream", []).append(path)
     parts = []
     if "text" in routed:
         lines = numbered_text(spark, routed["text"], line_sep="\n")
         parts.append(lines.select(F.col("file").alias("src_file"), "line_no", "value"))
+    if "xz" in routed:
+        parts.append(read_xz_lines(spark, routed["xz"]))
     if "stream" in routed:
         files = list_files(spark, routed["stream"])
         parts.append(files.mapInArrow(_stream_lines, DUMP_SCHEMA))
     if not parts:
         return spark.createDataFrame([], DUMP_SCHEMA)
-    lines = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return lines
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _stream_lines(batches):
     import bz2
     import io
-    import lzma
 
     import pyarrow as pa
 
@@ -86,8 +90,7 @@ def _stream_lines(batches):
 
     for batch in batches:
         for name in batch.column(0).to_pylist():
-            opener = bz2.open if codec_of(name) == "bz2" else lzma.open
-            with open_stream(name) as raw, opener(io.BufferedReader(_readable(raw))) as lines:
+            with open_stream(name) as raw, bz2.open(io.BufferedReader(_readable(raw))) as lines:
                 first, held = 0, []
                 for line in lines:
                     held.append(line.removesuffix(b"\n"))

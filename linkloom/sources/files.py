@@ -18,8 +18,8 @@ def list_files(spark: SparkSession, path, glob: str | None = None) -> DataFrame:
     return reader.load(path).select(F.col("path"))
 
 
-def open_stream(address: str):
-    """Raw bytes of a file on any file system Arrow knows."""
+def _located(address: str):
+    """The Arrow file system and path of an address."""
     from urllib.parse import unquote, urlsplit
 
     from pyarrow import fs
@@ -32,6 +32,17 @@ def open_stream(address: str):
         name = "/" + plain.lstrip("/")
         if local.get_file_info(name).type == fs.FileType.NotFound:
             name = unquote(name)
-        return local.open_input_stream(name, compression=None)
-    system, name = fs.FileSystem.from_uri(address)
+        return local, name
+    return fs.FileSystem.from_uri(address)
+
+
+def open_stream(address: str):
+    """Raw bytes of a file on any file system Arrow knows."""
+    system, name = _located(address)
     return system.open_input_stream(name, compression=None)
+
+
+def open_file(address: str):
+    """The same, to be read from any place."""
+    system, name = _located(address)
+    return system.open_input_file(name)

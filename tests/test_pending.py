@@ -1,0 +1,92 @@
+"""Pending URLs in the state of a stream: limits, retries, restarts."""
+
+import time
+
+import pytest
+
+from linkloom.streaming import pending as P
+
+URLS = "month string, uid bigint, url string"
+
+
+def fetcher():
+    """Made here, so that it goes to the workers by value: they cannot import this file."""
+
+    def fetch(frame):
+        """``slow`` URLs time out at first, ``dead`` ones always; how often is kept in files."""
+        import os
+
+        import pandas as pd
+
+        out = []
+        for uid, url in zip(frame["uid"], frame["url"]):
+            log, kind = url.split("|")
+            with open(f"{log}/{uid}", "a") as file:
+                file.write("x")
+            tries = os.path.getsize(f"{log}/{uid}")
+            late = kind == "dead" or kind == "slow" and tries < 3
+            out.append((uid, " " if kind == "blank" else f"text {uid}", late))
+        return pd.DataFrame(out, columns=["uid", "text", "timed_out"])
+
+    return fetch
+
+
+@pytest.fixture
+def rocksdb(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    P.use_rocksdb(spark)
+    yield
+    spark.conf.set(name, before)
+
+
+def run_until(spark, source, out, checkpoint, done, seconds=90, **options):
+    urls = spark.readStream.schema(URLS).parquet(source)
+    query = (
+        P.attempts(urls, fetcher(), shards=1, pause_ms=10, retry_ms=10, **options)
+        .writeStream.format("parquet").outputMode("append")
+        .option("path", out).option("checkpointLocation", checkpoint)
+        .trigger(processingTime="100 milliseconds").start()
+    )
+    end = time.time() + seconds
+    try:
+        while time.time() < end:
+            assert query.exception() is None, query.exception()
+            rows = attempts(spark, out)
+            if done(rows):
+                return rows
+            time.sleep(0.3)
+        raise AssertionError(f"not done: {rows}")
+    finally:
+        query.stop()
+
+
+def attempts(spark, out):
+    try:
+        return [(r.uid, r.status, r.tries) for r in spark.read.schema(P.ATTEMPTS).parquet(out).collect()]
+    except Exception:  # nothing is written yet
+        return []
+
+
+def last(rows):
+    return {uid: status for uid, status, _ in rows if status != "timeout"}
+
+
+def test_a_limit_ends_with_all_done_through_a_restart(spark, tmp_path, rocksdb):
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        log = tmp_path / "log"
+        log.mkdir()
+        source, out, ckpt = (str(tmp_path / n) for n in ("urls", "out", "ckpt"))
+        kinds = ["ok", "slow", "blank", "ok", "dead"]
+        rows = [("m", i, f"{log}|{k}") for i, k in enumerate(kinds)] + [("m", 0, f"{log}|ok"), ("m", None, "x|ok")]
+        spark.createDataFrame(rows, URLS).coalesce(1).write.parquet(source)
+        first = run_until(spark, source, out, ckpt, lambda r: len(r) >= 2, limit=2, max_tries=4)
+        assert len(first) < 9  # stopped on the way
+        spark.createDataFrame([("m", 7, f"{log}|ok"), ("m", 3, f"{log}|ok")], URLS).coalesce(1).write.mode("append").parquet(source)
+        rows = run_until(spark, source, out, ckpt, lambda r: len(last(r)) == 6, limit=2, max_tries=4)
+        assert last(rows) == {0: "ok", 1: "ok", 2: "empty", 3: "ok", 4: "gave_up", 7: "ok"}
+        assert len(rows) == len(set(rows)) == 4 + 3 + 4
+        assert [t for u, _, t in sorted(rows) if u == 1 or u == 4].count(3) == 2
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
