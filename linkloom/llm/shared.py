@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 from weakref import WeakKeyDictionary
@@ -42,17 +42,36 @@ def remove(table: DataFrame) -> None:
 
 
 @contextmanager
-def own_tables(spark: SparkSession) -> Iterator[None]:
-    """Tables written inside go to one folder, which is deleted at the end."""
-    folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+def own_tables(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables written inside go to one folder, which is deleted at the end.
+
+    Yields a function that writes a table outside of it, as what is read from the folder is lost.
+    """
+    outer, folder = _FOLDER.get(), f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+    def keep(df: DataFrame) -> DataFrame:
+        token = _FOLDER.set(outer)
+        try:
+            return written(df)
+        finally:
+            _FOLDER.reset(token)
+
     token = _FOLDER.set(folder)
     try:
-        yield
+        yield keep
     finally:
         _FOLDER.reset(token)
         _delete(spark, folder)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A name for a new column, unlike any that ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def rows_of_task() -> Iterator[int]:
     """Row numbers no other task of the stage hands out: the partition in the high bits."""
     from pyspark import TaskContext
