@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from linkloom.llm.decontam import decontaminate
 from linkloom.llm.mixing import label_domains, mix_documents
-from linkloom.llm.nearcopies import keep_one
 from linkloom.llm.quality import keep_quality
 from linkloom.llm.sharding import shard_documents
-from linkloom.llm.shared import written
+from linkloom.llm.shared import own_tables, remove
+from linkloom.llm.simhash import keep_one
 
 #: Shares of the tokens after mixing: clean documents stay once, what is left of the others is thinned.
 TARGETS = {"clean": 0.994, "low": 0.003, "toxic": 0.003}
@@ -31,7 +31,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
+    """One document of each group of near-duplicates stays: three-word shingles, three bits."""
     return keep_one(docs)
 
 
@@ -63,10 +63,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages applied to the documents, each result written before the next stage reads it."""
-    docs = _table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = written(docs)
-    return docs
+    """All stages applied to the documents, each result written before the next stage reads it.
+
+    What a stage writes for itself is deleted with its end, and a stage's result when the next one has
+    read it; only what the shards are read from stays.
+    """
+    docs, before = _table(spark, sf_dir, "documents"), None
+    for _, stage in STAGES[:-1]:
+        with own_tables(spark) as keep:
+            kept = keep(stage(spark, docs, sf_dir))
+        if before is not None:
+            remove(before)
+        docs = before = kept
+    return STAGES[-1][1](spark, docs, sf_dir)
