@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from linkloom.functions import strings as S
-from linkloom.operators import numbering, stats, tokens as K
+from linkloom.operators import numbering, packing, stats, tokens as K
 from linkloom.operators.pages import min_paragraph_words
 from linkloom.plans import corpus
 from linkloom.plans.link_queries import table
@@ -147,6 +147,13 @@ def pack_tokens(spark, d):
     )
 
 
+def pack_far(spark, d):
+    """Two batches, each of half the documents, whose shards are found by pointers."""
+    pos = F.substring("path", 8, 7).cast("bigint")
+    halves = lengths(spark, d).withColumns({"pos": pos, "batch_id": pos % 2})
+    return packing.pack_far(K.min_tokens(halves), LIMIT, rows=100).select("batch_id", "shard_id", "path", "n_tokens")
+
+
 def token_corpus(spark, d):
     return corpus.token_corpus(lengths(spark, d), LIMIT, batch_size=BATCH)
 
@@ -184,6 +191,7 @@ SELECT batch_id, CAST(shard_id AS BIGINT) AS shard_id, pos, path, n_tokens FROM
 
 BATCHED_SQL = batched_sql(LENGTHS_SQL)
 PACKED_SQL = packed_sql(BATCHED_SQL)
+HALVES_SQL = f"SELECT *, CAST(substr(path, 8, 7) AS BIGINT) AS pos, pos % 2 AS batch_id FROM ({LENGTHS_SQL})"
 ENCODED_SQL = f"SELECT printf('parsed/%07d.txt', doc_id) AS path, ids, len(ids) AS n_tokens FROM ({_encode_sql()})"
 SHARDS_SQL = f"""
 SELECT batch_id, shard_id, pos, md5(array_to_string(ids, ' ')) AS ids_md5
@@ -229,6 +237,7 @@ QUERIES = {
     "shard_content": (shard_content, SHARDS_SQL),
     "batch_files": (batch_files, f"SELECT path, batch_id, pos FROM ({BATCHED_SQL})"),
     "pack_tokens": (pack_tokens, f"SELECT batch_id, shard_id, path, n_tokens FROM ({PACKED_SQL})"),
+    "pack_far": (pack_far, f"SELECT batch_id, shard_id, path, n_tokens FROM ({packed_sql(HALVES_SQL)})"),
     "token_corpus": (
         token_corpus,
         f"""SELECT batch_id, shard_id, count(*) AS n_docs, CAST(sum(n_tokens) AS BIGINT) AS n_tokens
