@@ -78,6 +78,8 @@ _RESOLVED = (
     " content binary, n long, points long, best_id long, best_uid long"
 )
 
+_GROUP = ("cls", "keep_id", "keep_uid", "group_size", "text_sha256")
+
 
 def _batches(rows: list[tuple], fields: list[tuple[str, pa.DataType]]):
     columns = zip(*rows) if rows else [[] for _ in fields]
@@ -170,6 +172,22 @@ def _bucket(room: int):
     return lambda batches: _in_pieces(rows(batches), _RESOLVED_FIELDS)
 
 
+def _dealt(pending: DataFrame, level: int, table_bytes: int) -> DataFrame | None:
+    """``pending`` in buckets by the hash of its level, as many as its bytes need; None if it is empty.
+
+    Buckets are cut for two thirds of a table, so that nearly all fit; what does not is dealt again at
+    the next level, by another hash and into buckets of its own.
+    """
+    rows, held = pending.agg(F.count("*"), F.sum(F.octet_length("content") + 200)).first()
+    if not rows:
+        return None
+    key = F.xxhash64(F.lit(level), "content")
+    needed = min(rows, -(-3 * held // (2 * table_bytes)))
+    if needed <= int(pending.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return pending.repartition(key)
+    return pending.repartition(int(needed), key)
+
+
 def exact_groups(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
     """The group of each document among documents with equal text, white space deleted.
 
@@ -184,20 +202,15 @@ def exact_groups(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
     members = collapsed.where("content is null").select("uid", "doc_id", "cls")
     pending = collapsed.where("content is not null").drop("uid", "doc_id")
     resolved, level = [], 0
-    while True:
-        dealt = pending.repartition(F.xxhash64(F.lit(level), "content"))
+    while (dealt := _dealt(pending, level, table_bytes)) is not None:
         out = written(dealt.mapInArrow(_bucket(table_bytes), _RESOLVED))
-        resolved.append(
-            out.where("content is null").select(
-                "cls", "keep_id", "keep_uid", "group_size", "text_sha256"
-            )
-        )
+        resolved.append(out.where("content is null").select(*_GROUP))
         pending = out.where("content is not null").select(
             "cls", "content", "n", "points", "best_id", "best_uid"
         )
-        if pending.isEmpty():
-            break
         level += 1
+    if not resolved:
+        resolved = [collapsed.sparkSession.createDataFrame([], _RESOLVED).select(*_GROUP)]
     groups = reduce(DataFrame.unionByName, resolved)
     return members.join(groups, "cls").select(
         "doc_id", "keep_id", "group_size", (F.col("uid") == F.col("keep_uid")).alias("kept"),

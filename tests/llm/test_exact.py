@@ -58,3 +58,17 @@ def test_full_table_refuses_for_good():
     assert table.find_or_add(b"aa") == (0, True)
     assert table.find_or_add(b"bb") == (-1, False)
     assert table.find_or_add(b"aa") == (0, False)
+
+
+@pytest.mark.parametrize("tables", [10, 60])
+def test_levels_do_not_grow_with_the_data(spark, monkeypatch, tables):
+    """Contents of so many tables: buckets are cut by their bytes, so two levels or three are enough."""
+    from linkloom.llm import exact
+
+    writes, plain = [], exact.written
+    monkeypatch.setattr(exact, "written", lambda df: writes.append(1) or plain(df))
+    n, room = tables * 20, 20 * 300
+    docs = spark.range(n).selectExpr("id as doc_id", "rpad(cast(id as string), 100, 'x') as text").repartition(4)
+    got = exact_groups(docs, room).collect()
+    assert len(got) == n and all(r.kept and r.group_size == 1 for r in got)
+    assert len(writes) <= 4
