@@ -111,10 +111,14 @@ URL_RULES = [
 
 
 def op9_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The list holds the URLs of the crawl whose host is named as spam; variants of them are found."""
+    """The list: about an eighth of the crawl's URLs, by a hash, each written in another way."""
     pages = table(spark, sf_dir, "pages")
-    listed = pages.where(F.startswith(url_host(F.col("url")), F.lit("spam"))).select("url")
-    return judge_urls(pages, listed, URL_RULES)
+    chosen = pages.where(F.substring(F.md5(F.coalesce("url", F.lit(""))), 1, 1).isin("3", "b"))
+    plain = F.split(F.col("url"), "#", 2)[0]
+    tracked = F.when(plain.contains("?"), F.concat(plain, F.lit("&utm_source=list"))).otherwise(
+        F.concat(plain, F.lit("?ref=list"))
+    )
+    return judge_urls(pages, chosen.select(tracked.alias("url")), URL_RULES)
 
 
 OP9_SQL = r"""
@@ -134,9 +138,10 @@ canon AS (
          CASE WHEN good THEN regexp_replace(host, '^www\.', '')
            || regexp_replace(path, '(\.html|/)$', '') || CASE WHEN q <> '' THEN '?' || q ELSE '' END
          END AS canonical
-  FROM (SELECT *, regexp_replace(regexp_replace(query, '(^|&)(utm_[^&=]*|ref)(=[^&]*)?', '', 'g'),
-                                 '^&', '') AS q FROM parts)),
-listed AS (SELECT DISTINCT canonical FROM canon WHERE host LIKE 'spam%'),
+  FROM (SELECT *, array_to_string(list_filter(string_split(query, '&'), lambda p: p <> ''
+            AND split_part(p, '=', 1) <> 'ref' AND NOT starts_with(p, 'utm_')), '&') AS q FROM parts)),
+listed AS (SELECT DISTINCT canon.canonical FROM canon JOIN pages USING (page_id)
+           WHERE substr(md5(coalesce(url, '')), 1, 1) IN ('3', 'b') AND canon.canonical IS NOT NULL),
 ruled AS (
   SELECT *, CASE
     WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1')

@@ -1,8 +1,9 @@
 """URL verdicts: rules by host and path, then a list of URLs behind a blocked Bloom filter.
 
-All of it is DataFrame functions.  The filter is a table of blocks of 256 bits, at most ``blocks`` rows,
-so it may be broadcast however long the list is.  URLs whose bits are all set go to an exact hash join
-with the list, which removes the false positives; the others are decided without meeting the list.
+All of it is DataFrame functions.  The filter is a table of blocks of 256 bits, sized by the list, so
+that about one URL in four hundred passes by mistake.  It is broadcast where it is small, and joined by
+block where it is not.  URLs whose bits are all set go to an exact hash join with the list, which removes
+the false positives; the others are decided without meeting the list.
 """
 
 from __future__ import annotations
@@ -12,8 +13,12 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: 40 bytes each: the broadcast table has 10 MB at most.
-BLOCKS = 1 << 18
+from linkloom.llm.shared import written
+
+#: Listed URLs for each block of 256 bits, of which each sets four.
+PER_BLOCK = 16
+#: Blocks, of 40 bytes, that are broadcast at most.
+BROADCAST_BLOCKS = 1 << 18
 _WORDS = 4
 
 
@@ -36,19 +41,23 @@ def url_path(url: Column) -> Column:
     return F.regexp_extract(_after_scheme(F.coalesce(url, F.lit(""))), "^[^/?#]*([^?#]*)", 1)
 
 
-# Parameters that tell where a visitor came from, not which page is meant (fixed values).
-TRACKING = r"(^|&)(utm_[^&=]*|ref)(=[^&]*)?"
+def _tracks(parameter: Column) -> Column:
+    """Whether a parameter tells where a visitor came from, not which page is meant."""
+    return F.startswith(parameter, F.lit("utm_")) | (F.substring_index(parameter, "=", 1) == "ref")
 
 
 def canonical_url(url: Column) -> Column:
     """Host without ``www.``, path without ``.html`` and the last slash, query without tracking.
 
+    Parameters go as a whole: ``refresh`` is not ``ref``.  Empty ones go as well.
+
     Scheme and fragment do not count.  Null for a url that is null or has no ``://``.
     """
     host = F.regexp_replace(url_host(url), r"^www\.", "")
     path = F.regexp_replace(url_path(url), r"(\.html|/)$", "")
     raw = F.regexp_extract(_after_scheme(url), r"^[^?#]*\?([^#]*)", 1)
-    query = F.regexp_replace(F.regexp_replace(raw, TRACKING, ""), "^&", "")
+    told = F.filter(F.split(raw, "&", -1), lambda p: (p != "") & ~_tracks(p))
+    query = F.array_join(told, "&")
     full = F.concat(host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
     return F.when(F.instr(url, "://") > 0, full)
 
@@ -61,10 +70,10 @@ def _bits(canonical: Column, blocks: int) -> list[Column]:
     return [F.pmod(F.xxhash64(canonical), F.lit(blocks)), *masks]
 
 
-def bloom_blocks(listed: DataFrame, blocks: int = BLOCKS) -> DataFrame:
+def bloom_blocks(listed: DataFrame, blocks: int) -> DataFrame:
     """``block, w0 .. w3`` of the listed canonical URLs (column ``canonical``)."""
     block, *masks = _bits(F.col("canonical"), blocks)
-    rows = listed.where("canonical is not null").select(
+    rows = listed.select(
         block.alias("block"), *(m.alias(f"m{i}") for i, m in enumerate(masks))
     )
     return rows.groupBy("block").agg(*(F.bit_or(f"m{i}").alias(f"w{i}") for i in range(_WORDS)))
@@ -84,7 +93,7 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tu
 
 
 def judge_urls(
-    pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str, str]], blocks: int = BLOCKS
+    pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str, str]], per_block: int = PER_BLOCK
 ) -> DataFrame:
     """``page_id, host, path, rule, verdict, canonical, listed``, one row per row of ``pages``.
 
@@ -93,7 +102,10 @@ def judge_urls(
     in the list do not repeat pages.  An empty list allows; an empty table gives no rows.  Columns
     other than ``page_id`` and ``url`` are not read.
     """
-    wanted = listed.select(canonical_url(F.col("url")).alias("canonical")).distinct()
+    wanted = listed.select(canonical_url(F.col("url")).alias("canonical")).where("canonical is not null")
+    wanted = written(wanted.distinct())
+    blocks = max(1, -(-wanted.count() // per_block))
+    bloom = bloom_blocks(wanted, blocks)
     url = F.col("url")
     rows = pages.select(
         "page_id", url_host(url).alias("host"), url_path(url).alias("path"),
@@ -101,14 +113,14 @@ def judge_urls(
     )
     block, *masks = _bits(F.col("canonical"), blocks)
     probed = rows.withColumn("block", block).join(
-        F.broadcast(bloom_blocks(wanted, blocks)), "block", "left"
+        F.broadcast(bloom) if blocks <= BROADCAST_BLOCKS else bloom, "block", "left"
     )
     inside = F.lit(True)
     for i, mask in enumerate(masks):
         inside = inside & (F.col(f"w{i}").bitwiseAND(mask) == mask)
     inside = F.coalesce(inside & F.col("canonical").isNotNull(), F.lit(False))
     flagged = probed.select("page_id", "host", "path", "canonical", inside.alias("__possible"))
-    exact = wanted.where("canonical is not null").withColumn("__hit", F.lit(True))
+    exact = wanted.withColumn("__hit", F.lit(True))
     possible = flagged.where("__possible").join(exact, "canonical", "left")
     rest = flagged.where("not __possible").withColumn("__hit", F.lit(False))
     judged = possible.unionByName(rest)

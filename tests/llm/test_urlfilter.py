@@ -28,8 +28,9 @@ WANT = {  # page: (host, path, rule, verdict)
 }
 
 
-@pytest.mark.parametrize("blocks", [1, 4, 1 << 18])
-def test_verdicts(spark, blocks):
+@pytest.mark.parametrize(("per_block", "broadcast"), [(1, 1 << 18), (16, 0), (1 << 18, 1 << 18)])
+def test_verdicts(spark, monkeypatch, per_block, broadcast):
+    monkeypatch.setattr(U, "BROADCAST_BLOCKS", broadcast)
     pages = spark.createDataFrame(
         [(i, u, "x", "y", 1) for i, u in enumerate(URLS)],
         "page_id long, url string, canonical string, block string, w0 int",
@@ -37,11 +38,33 @@ def test_verdicts(spark, blocks):
     bad = ["http://bad.net/p", "http://bad.net/p", None, "junk", "http://spam.org/de/1"]
     bad += [f"http://other.net/{i}" for i in range(500)]
     listed = spark.createDataFrame([(u,) for u in bad], "url string")
-    got = U.judge_urls(pages, listed, URL_RULES, blocks)
+    got = U.judge_urls(pages, listed, URL_RULES, per_block)
     assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in got.collect()} == WANT
     assert got.count() == len(URLS)
 
 
+def test_parameters_go_as_a_whole(spark):
+    urls = {
+        "http://a.test/p?refresh=1": "a.test/p?refresh=1", "http://a.test/p?a=1&reference=3": "a.test/p?a=1&reference=3",
+        "http://a.test/p?preref=2&ref=x": "a.test/p?preref=2", "http://a.test/p?ref&ref=&a": "a.test/p?a",
+        "http://www.a.test/p/?utm_x&utm_y=1=2&&b=&": "a.test/p?b=", "http://a.test/p.html?ref=1": "a.test/p",
+        "http://a.test/p?utm=1&xutm_a=2": "a.test/p?utm=1&xutm_a=2", "http://a.test/p?a=ref": "a.test/p?a=ref",
+    }
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    assert {r.url: r.c for r in df.select("url", U.canonical_url(F.col("url")).alias("c")).collect()} == urls
+    pages = spark.createDataFrame([(1, "http://a.test/p?resh=1"), (2, "http://a.test/p?refresh=1&ref=z")], "page_id long, url string")
+    assert {r.page_id: r.verdict for r in U.judge_urls(pages, df, []).collect()} == {1: "allow", 2: "block"}
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_the_list_of_the_query_is_not_empty(spark, sf):
+    from linkloom.llm.queries import op9_url_verdicts
+
+    rows = op9_url_verdicts(spark, f"/root/testdata/{sf}").collect()
+    assert 0 < sum(r.listed for r in rows) < len(rows) / 3
+    assert any(r.listed and r.verdict == "block" and r.rule is None for r in rows)
+
+
 def test_empty(spark):
     pages = spark.createDataFrame([(1, "http://bad.net/p")], "page_id long, url string")
     assert [r.verdict for r in U.judge_urls(pages, pages.limit(0), []).collect()] == ["allow"]
