@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.shared import values, written
+from linkloom.llm.shared import Intervals, values, written
 
 #: Kinds in the order in which equal starts are listed; ``random`` is the battery's.
 KINDS = ("assign", "access", "hex", "random")
@@ -273,12 +273,14 @@ def _report(sums: dict, bounds: dict[str, int]):
             out = []
             for doc_id, base, tests in zip(*(values(batch, x) for x in ("doc_id", "base", "tests"))):
                 spans = [(s["start"], KINDS.index(s["kind"]), s["end"]) for s in base]
+                taken = Intervals((a, b) for a, _, b in spans)
                 for t in tests:
                     bound = bounds.get(f"{t['encoding']}/{length_class(t['n'])}")
                     p = writing_p(t["n"], t["pairs"], *sums[t["encoding"]])
-                    inside = any(a < t["end"] and t["start"] < b for a, _, b in spans)
+                    inside = taken.touches(t["start"], t["end"])
                     if t["fits"] and bound is not None and _bin(p) >= bound and not inside:
                         spans.append((t["start"], 3, t["end"]))
+                        taken.add(t["start"], t["end"])
                 spans.sort()
                 line = lambda own: ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in own)
                 kinds = [k for _, k, _ in spans]

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 from weakref import WeakKeyDictionary
@@ -72,6 +73,30 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+class Intervals:
+    """A set of places in a text, as intervals that are kept apart and in order."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]] = ()):
+        self.starts, self.ends = [], []
+        for start, end in sorted(spans):
+            if self.ends and start < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            elif start < end:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def touches(self, start: int, end: int) -> bool:
+        """Whether some place of the span is in the set."""
+        at = bisect_left(self.starts, end) - 1
+        return at >= 0 and self.ends[at] > start
+
+    def add(self, start: int, end: int) -> None:
+        """Add a span that touches none."""
+        at = bisect_left(self.starts, start)
+        self.starts.insert(at, start)
+        self.ends.insert(at, end)
+
+
 def rows_of_task() -> Iterator[int]:
     """Row numbers no other task of the stage hands out: the partition in the high bits."""
     from pyspark import TaskContext

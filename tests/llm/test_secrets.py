@@ -143,3 +143,37 @@ def test_joined_and_single_case_tokens_are_reported(spark):
         spans = {i: [tuple(map(int, s.split(":")[1:])) for s in got[i].split(",") if s] for i in own}
         found = sum(any(a - 12 <= c <= a and d == b for c, d in spans[i]) for i, (a, b) in own.items())
         assert found >= 0.9 * len(own), (lower, found, spans)
+
+
+def test_intervals_tell_overlaps():
+    import random
+
+    from linkloom.llm.shared import Intervals
+
+    rng = random.Random(8)
+    spans = [(a, a + rng.randint(1, 9)) for a in (rng.randrange(400) for _ in range(60))]
+    kept, held = Intervals(spans), list(spans)
+    for _ in range(500):
+        a = rng.randrange(420)
+        b = a + rng.randint(1, 6)
+        assert kept.touches(a, b) == any(x < b and a < y for x, y in held)
+        if not kept.touches(a, b):
+            kept.add(a, b)
+            held.append((a, b))
+
+
+def test_a_long_list_of_hashes_takes_linear_time(spark):
+    import hashlib
+    import time
+
+    def seconds(n):
+        text = "\n".join(hashlib.md5(b"%d" % i).hexdigest() for i in range(n))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.perf_counter()
+        row = S.find_secrets(docs).collect()[0]
+        assert row.n_hex == n
+        return time.perf_counter() - start
+
+    seconds(100)
+    short, long = seconds(15_000), seconds(60_000)
+    assert long < 12 * max(short, 1)
