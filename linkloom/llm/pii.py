@@ -11,7 +11,9 @@ are calibrated and each kind's threshold is set for precision.  What passes is a
 from __future__ import annotations
 
 import re
+from collections import deque
 from hashlib import sha256
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -19,12 +21,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.shared import values, written
+from linkloom.llm.shared import Intervals, values, written
 
 KINDS = ("email", "ip", "card", "phone")
 #: Candidates to learn from: the bound of what the driver collects (under 500 bytes each).
 SAMPLE_ROWS = 8000
 PRECISION, CONTEXT = 0.98, 24
+#: Code points of a candidate at most, and candidates that are scored at once.
+MOST_LENGTH, PIECE = 160, 4096
 
 # The formats (fixed values), written so that each takes one pass on any text.
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -95,37 +99,55 @@ def ranges_of(text: str, start: int, end: int):
 
     Neighbours may be one thing or several.  A range has 19 groups at most, so this is linear in the run.
     """
-    groups = [(m.start(), m.end(), m.end() - m.start(1)) for m in _GROUP.finditer(text, start, end)]
-    if text[end : end + 1].isascii() and text[end : end + 1].isalpha():
-        groups.pop()  # the last group goes on as a word
-    for i, (a, _, _) in enumerate(groups):
-        n = 0
-        for _, b, digits in groups[i : i + MOST_DIGITS]:
+    word = text[end : end + 1].isascii() and text[end : end + 1].isalpha()
+    groups: deque[tuple[int, int, int]] = deque()
+
+    def ranges():
+        """Those that begin with the first group that is held."""
+        n, a = 0, groups[0][0]
+        for _, b, digits in groups:
             n += digits
             if n > MOST_DIGITS:
                 break
             if n >= LEAST_DIGITS:
                 yield a, b, n
 
+    for m in _GROUP.finditer(text, start, end):
+        if word and m.end() == end:
+            break  # the last group goes on as a word
+        groups.append((m.start(), m.end(), m.end() - m.start(1)))
+        if len(groups) == MOST_DIGITS:
+            yield from ranges()
+            groups.popleft()
+    while groups:
+        yield from ranges()
+        groups.popleft()
+
+
+def candidates(text: str):
+    """(kind, start, end) of what could be personal data, one by one; spans overlap, and kinds share them.
 
-def candidates(text: str) -> list[tuple[str, int, int]]:
-    """(kind, start, end) of what could be personal data; spans overlap, and kinds share them."""
-    found = []
+    Longer spans than ``MOST_LENGTH`` are none of these.
+    """
     if "@" in text or "(at" in (low := text.lower()) or "[at" in low or "( at" in low:
-        found += [("email", *m.span()) for m in _LOOSE_AT.finditer(text)]
+        for m in _LOOSE_AT.finditer(text):
+            if m.end() - m.start() <= MOST_LENGTH:
+                yield "email", *m.span()
     if not _DIGIT.search(text):
-        return found
+        return
+    # Dotted quads are short of seven digits at times.
+    quads = {m.span() for m in _IP.finditer(text) if m.end() - m.start() < 40}
+    yield from (("ip", a, b) for a, b in sorted(quads))
     for m in _NUMBER_RUN.finditer(text):
         for a, b, n in ranges_of(text, *m.span()):
-            if text.count(".", a, b) >= 3:
-                found.append(("ip", a, b))
+            if b - a > MOST_LENGTH:
+                continue
+            if text.count(".", a, b) >= 3 and (a, b) not in quads:
+                yield "ip", a, b
             if 12 <= n <= 19:
-                found.append(("card", a, b))
+                yield "card", a, b
             if 7 <= n <= 15:
-                found.append(("phone", a, b))
-    # Dotted quads are short of seven digits at times.
-    found += [("ip", *m.span()) for m in _IP.finditer(text) if m.end() - m.start() < 40]
-    return list(dict.fromkeys(found))
+                yield "phone", a, b
 
 
 # Words that tell what stands next to them (fixed values).
@@ -308,55 +330,77 @@ def learn(rows: list[tuple[str, str, str, str, bool]], precision: float = PRECIS
     return judge
 
 
-_SPAN = "array<struct<kind:string,start:long,end:long>>"
-_CANDIDATE = (
-    "array<struct<kind:string,start:long,end:long,before:string,match:string,after:string,fixed:boolean>>"
-)
-_SPAN_FIELDS = [("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]
-_CANDIDATE_FIELDS = [
-    *_SPAN_FIELDS, ("before", pa.string()), ("match", pa.string()), ("after", pa.string()),
-    ("fixed", pa.bool_()),
-]
-
-
-def _find(batches):
-    for batch in batches:
-        base, loose = [], []
-        for text in values(batch, "text"):
-            text = text or ""
-            own = formats(text)
-            fixed = set(own)
-            base.append([dict(kind=k, start=a, end=b) for k, a, b in own])
-            loose.append(
-                [
-                    dict(kind=k, start=a, end=b, before=text[max(0, a - CONTEXT) : a], match=text[a:b],
-                         after=text[b : b + CONTEXT], fixed=(k, a, b) in fixed)
-                    for k, a, b in dict.fromkeys([*candidates(text), *own]) if b - a <= 160
-                ]
-            )
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0), pa.array(base, pa.list_(pa.struct(_SPAN_FIELDS))),
-                pa.array(loose, pa.list_(pa.struct(_CANDIDATE_FIELDS))),
-            ],
-            ["doc_id", "base", "loose"],
-        )
+_EXAMPLE = "rank long, kind string, before string, match string, after string, fixed boolean"
 
 
-def added_spans(judge: Judge, base: list[tuple], loose: list[dict]) -> list[tuple]:
+def _examples(most: int):
+    """Candidates to learn from, with and without a fixed format: of each the ``most`` of least hash.
+
+    The hash is of what is learnt from, so that a task's choice holds all that the table's needs.
+    """
+
+    def run(batches):
+        held: dict[bool, dict[tuple, int]] = {True: {}, False: {}}
+
+        def add(text: str, fixed: bool, kind: str, a: int, b: int) -> None:
+            example = (kind, text[max(0, a - CONTEXT) : a], text[a:b], text[b : b + CONTEXT])
+            own = held[fixed]
+            if example not in own:
+                own[example] = xxhash.xxh64_intdigest("\n".join(example).encode()) >> 1
+                if len(own) >= 2 * most:
+                    held[fixed] = dict(sorted(own.items(), key=lambda e: (e[1], e[0]))[:most])
+
+        for batch in batches:
+            for text in values(batch, "text"):
+                text = text or ""
+                own = [s for s in formats(text) if s[2] - s[1] <= MOST_LENGTH]
+                for span in own:
+                    add(text, True, *span)
+                fixed = set(own)
+                for span in candidates(text):
+                    if span not in fixed:
+                        add(text, False, *span)
+        for fixed, own in held.items():
+            for at in range(0, len(own), 4096):
+                part = list(own.items())[at : at + 4096]
+                columns = [[rank for _, rank in part], *zip(*(e for e, _ in part)), [fixed] * len(part)]
+                types = [pa.int64(), *[pa.string()] * 4, pa.bool_()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(c), t) for c, t in zip(columns, types)],
+                    ["rank", "kind", "before", "match", "after", "fixed"],
+                )
+
+    return run
+
+
+def _likely(judge: Judge, text: str, fixed: set) -> list[np.ndarray]:
+    """Place in ``KINDS``, start, end and probability of the candidates over their threshold.
+
+    Candidates are scored in pieces, so that what is held of a long run of numbers is what passes.
+    """
+    limits, found = np.array([judge.thresholds[k] for k in KINDS]), []
+    proposed = (c for c in candidates(text) if c not in fixed)
+    while piece := list(islice(proposed, PIECE)):
+        x = [features(k, text[max(0, a - CONTEXT) : a], text[a:b], text[b : b + CONTEXT]) for k, a, b in piece]
+        p = judge.probabilities(np.array(x, float))
+        kind = np.array([KINDS.index(k) for k, _, _ in piece], np.int8)
+        passed = np.flatnonzero(p >= limits[kind])
+        spans = np.array([c[1:] for c in piece], np.int64)[passed]
+        found.append((kind[passed], spans[:, 0], spans[:, 1], p[passed]))
+    return [np.concatenate(c) for c in zip(*found)] if found else [np.empty(0)] * 4
+
+
+def added_spans(judge: Judge, text: str, base: list[tuple]) -> list[tuple]:
     """The candidates over their kind's threshold that touch no span so far, the surest first."""
-    if judge.trees is None or not loose:
+    if judge.trees is None:
         return []
-    x = np.array([features(c["kind"], c["before"], c["match"], c["after"]) for c in loose], float)
-    p = judge.probabilities(x)
-    taken, added = [(a, b) for _, a, b in base], []
-    for i in sorted(range(len(loose)), key=lambda i: (-p[i], loose[i]["start"], loose[i]["end"])):
-        c = loose[i]
-        if p[i] < judge.thresholds[c["kind"]]:
-            continue
-        if not any(a < c["end"] and c["start"] < b for a, b in taken):
-            taken.append((c["start"], c["end"]))
-            added.append((c["kind"], c["start"], c["end"]))
+    kind, start, end, p = _likely(judge, text, set(base))
+    taken, added = Intervals((a, b) for _, a, b in base), []
+    for i in np.lexsort((kind, end, start, -p)).tolist():
+        a, b = int(start[i]), int(end[i])
+        if not taken.touches(a, b):
+            taken.add(a, b)
+            added.append((KINDS[int(kind[i])], a, b))
     return added
 
 
@@ -367,9 +411,9 @@ def _report(judge: Judge):
         line = lambda own: ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(own, key=order))
         for batch in batches:
             out = []
-            for doc_id, base, loose in zip(*(values(batch, x) for x in ("doc_id", "base", "loose"))):
-                spans = [(s["kind"], s["start"], s["end"]) for s in base]
-                added = added_spans(judge, spans, [c for c in loose if not c["fixed"]])
+            for doc_id, text in zip(values(batch, "doc_id"), values(batch, "text")):
+                spans = formats(text or "")
+                added = added_spans(judge, text or "", spans)
                 kinds = [s[0] for s in spans]
                 out.append(
                     (doc_id, *(kinds.count(k) for k in KINDS), sha256(line(spans).encode()).hexdigest(),
@@ -391,13 +435,13 @@ def find_pii(docs: DataFrame, rows: int = SAMPLE_ROWS, precision: float = PRECIS
     Counts and ``base_sha256`` are of the fixed formats, ``spans`` holds all spans as ``kind:start:end``
     in code points, by kind and start.  Null and empty texts have none.  ``rows`` bounds the sample of
     candidates to learn from, picked by hash over the whole table, half with the format and half
-    without; where a class is missing, nothing is added.  Repeated rows are found alike; an empty table
+    without; where a class is missing, nothing is added.  Candidates of over 160 code points are none.
+    A text of any length is scored in pieces.  Repeated rows are found alike; an empty table
     gives no rows.  Columns other than ``doc_id`` and ``text`` are not read.
     """
     start = docs.select(F.col("doc_id").cast("long"), "text")
-    found = written(start.mapInArrow(_find, f"doc_id long, base {_SPAN}, loose {_CANDIDATE}"))
-    each = found.select(F.explode("loose").alias("c")).select("c.*").drop("start", "end")
-    each = each.distinct().withColumn("rank", F.xxhash64("kind", "before", "match", "after"))
+    # Each task sends so many at most, whatever its texts hold.
+    each = written(start.select("text").mapInArrow(_examples(rows // 2), _EXAMPLE)).distinct()
     order = ["rank", "kind", "before", "match", "after"]
     halves = [
         each.where(F.col("fixed") == want).orderBy(*order).limit(rows // 2).collect()
@@ -405,7 +449,7 @@ def find_pii(docs: DataFrame, rows: int = SAMPLE_ROWS, precision: float = PRECIS
     ]
     sample = [(r.kind, r.before, r.match, r.after, r.fixed) for half in halves for r in half]
     judge = learn(sample, precision)
-    return found.mapInArrow(
+    return start.mapInArrow(
         _report(judge),
         "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string,"
         " spans string, n_added long",
