@@ -11,6 +11,8 @@ vector for each step: nothing is stored for documents, and a step is one sum ove
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -226,7 +228,9 @@ def solve(marked: DataFrame, weights: list[float], max_rate: float,
     """The residual of each step, by which any document's rate can be replayed.
 
     Targets are the weights' shares of the present token total or, with ``total_of``, of the total at
-    which that domain keeps its present size.
+    which that domain keeps its present size.  It ends when all totals are met or no residual changes
+    any more, which is the least-squares solution.  If neither is so after ``STEPS`` steps, a warning
+    tells by how much the totals are off, and the rates of the last step hold.
     """
     n = len(weights)
     mass = expected_totals(marked, [], n, max_rate)
@@ -243,6 +247,9 @@ def solve(marked: DataFrame, weights: list[float], max_rate: float,
             break
         residuals.append(residual)
         totals = expected_totals(marked, residuals, n, max_rate, at_point=1)
+    else:
+        left = np.abs((totals - target) / scale).max()
+        warnings.warn(f"after {STEPS} steps a domain is off by {left:.2g} of its size", RuntimeWarning, stacklevel=2)
     return residuals
 
 

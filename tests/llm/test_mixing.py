@@ -88,3 +88,18 @@ def test_copies_keep_the_mean(spark):
     rates = spark.range(20000).selectExpr("id as doc_id", "1.3d as rate")
     copies = [r.c for r in rates.select(M.copies_of(rates.rate, "doc_id").alias("c")).collect()]
     assert set(copies) == {1, 2} and abs(np.mean(copies) - 1.3) < 0.02
+
+
+def test_an_unmet_target_is_told(spark, monkeypatch):
+    """Overlapping posteriors take more steps than are left; that is said, with what is off."""
+    import numpy as np
+
+    from linkloom.llm import mixing
+
+    rng = np.random.default_rng(4)
+    shares = rng.dirichlet([14, 4, 2], 200)
+    rows = [(int(n), s.tolist()) for n, s in zip(rng.integers(5, 90, 200), shares)]
+    marked = spark.createDataFrame(rows, "__tokens long, __shares array<double>")
+    monkeypatch.setattr(mixing, "STEPS", 3)
+    with pytest.warns(RuntimeWarning, match="off by"):
+        assert len(mixing.solve(marked, [0.9, 0.07, 0.03], 8.0)) == 3
