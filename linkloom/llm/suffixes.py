@@ -30,11 +30,13 @@ from linkloom.llm.shared import values, written
 
 WINDOW = 100
 #: Bytes of an anchor; a window holds WINDOW - SEED + 1 places for one.
-SEED = 76
+SEED = 64
 #: An anchor with more different contexts is sorted in blocks.
 MOST_CONTEXTS = 4096
 #: Bytes hashed at once, rows compared and windows sorted at once in a task.
 CHUNK, ROWS, WINDOWS = 1 << 20, 1 << 20, 1 << 18
+#: Buckets of anchors for each partition of a shuffle.
+BUCKETS = 4
 _LAST = 2**63 - 1  # the place of a null doc_id: after all others
 
 
@@ -239,48 +241,122 @@ def _batch(names: str, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names.split())
 
 
-def _anchors(window: int, seed: int):
-    """Anchors of all texts; those that two places of a block share are decided in the block.
+# Of an anchor's hash, the high bits choose its bucket and 38 low bits are compared in it: a chance
+# meeting makes an anchor a candidate that no window confirms.
+_LOW_BITS, _HIGH_BITS = 32, 6
+_PLAIN, _TOLD, _DECIDED = 0, 1, 2
 
-    A decided row has the place -1 - at and is dealt out at random, but for one that tells the others.
+
+def _packed(anchor: np.ndarray, flag: np.ndarray, doc: np.ndarray, at: np.ndarray, keys: np.ndarray) -> bytes:
+    """Anchors of a bucket in some ten bytes each; ``doc`` numbers the texts, whose ``keys`` come once."""
+    own, place = np.unique(doc, return_inverse=True)
+    small = np.uint16 if len(own) <= 1 << 16 else np.uint32
+    low = (anchor & np.uint64((1 << _LOW_BITS) - 1)).astype(np.uint32)
+    high = (anchor >> np.uint64(_LOW_BITS) & np.uint64((1 << _HIGH_BITS) - 1)).astype(np.uint8)
+    parts = np.array([len(at), len(own)], np.uint32), low, high | (flag.astype(np.uint8) << _HIGH_BITS)
+    return b"".join(p.tobytes() for p in (*parts, at.astype(np.uint32), place.astype(small), keys[own]))
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, ...]:
+    """Compared bits, flag, key and place of each anchor."""
+    n, m = np.frombuffer(data, np.uint32, 2).tolist()
+    small, at, out = np.uint16 if m <= 1 << 16 else np.uint32, 8, []
+    for kind, count in ((np.uint32, n), (np.uint8, n), (np.uint32, n), (small, n), (np.int64, m)):
+        out.append(np.frombuffer(data, kind, count, at))
+        at += count * np.dtype(kind).itemsize
+    low, high, place, doc, keys = out
+    bits = low.astype(np.int64) | (high & ((1 << _HIGH_BITS) - 1)).astype(np.int64) << _LOW_BITS
+    return bits, high >> _HIGH_BITS, keys[doc], place.astype(np.int64)
+
+
+def _anchors(window: int, seed: int, buckets: int):
+    """Anchors of all texts by bucket; those that two places of a block share are decided in the block.
+
+    Of the decided ones one tells the others of the bucket, and the rest are dealt out at random.
     """
 
-    def meet(found):
-        anchor, key, at = (np.concatenate(c) for c in zip(*found))
-        order = np.lexsort((at, key, anchor))
-        anchor, key, at = anchor[order], key[order], at[order]
+    def meet(found, keys):
+        anchor, doc, at = (np.concatenate(c) for c in zip(*found))
+        keys = np.array(keys, np.int64)
+        order = np.lexsort((at, doc, anchor))
+        anchor, doc, at = anchor[order], doc[order], at[order]
         new = _firsts(anchor)
-        first = np.flatnonzero(new)
-        sizes = np.diff(np.append(first, len(at)))
+        sizes = np.diff(np.append(np.flatnonzero(new), len(at)))
         shared = np.repeat(sizes > 1, sizes)
-        route = np.where(shared & ~new, _scattered(key, at), anchor)
-        return _batch("route key at", route, key, np.where(shared, -1 - at, at))
+        flag = np.where(shared, np.where(new, _TOLD, _DECIDED), _PLAIN)
+        route = np.where(flag == _DECIDED, _scattered(keys[doc], at).view(np.uint64), anchor)
+        bucket = (route >> np.uint64(40)) % np.uint64(buckets)
+        order = np.argsort(bucket, kind="stable")
+        first = np.flatnonzero(_firsts(bucket[order]))
+        pieces = [
+            _packed(anchor[o], flag[o], doc[o], at[o], keys) for o in np.split(order, first[1:])
+        ]
+        return _batch("bucket anchors", bucket[order][first].astype(np.int64), pa.array(pieces, pa.binary()))
 
     def run(batches):
-        found, n, seen = [], 0, set()
+        found, n, keys, seen = [], 0, [], set()
         for batch in batches:
             for (body,) in _bodies(batch):
-                key = text_key(body)
+                key = text_key(body)[0]
                 if len(body) < window or key in seen:  # a copy has nothing that the first one has not
                     continue
                 seen.add(key)
-                data = np.frombuffer(body, np.uint8)
-                at = anchors(data, window, seed)
+                at = anchors(np.frombuffer(body, np.uint8), window, seed)
                 hashes = [xxhash.xxh3_64_intdigest(body[a : a + seed]) for a in at.tolist()]
-                found.append((np.array(hashes, np.uint64).view(np.int64), np.full(len(at), key[0]), at))
+                found.append((np.array(hashes, np.uint64), np.full(len(at), len(keys)), at))
+                keys.append(key)
                 n += len(at)
                 if n >= ROWS:
-                    yield meet(found)
-                    found, n, seen = [], 0, set()
+                    yield meet(found, keys)
+                    found, n, keys, seen = [], 0, [], set()
         if n:
-            yield meet(found)
+            yield meet(found, keys)
 
     return run
 
 
+def _shared(batches):
+    """``key, at`` of the anchors that stand in two places; rows come sorted by bucket."""
+
+    def meet(held):
+        bits, flag, key, at = (np.concatenate(c) for c in zip(*map(_unpacked, held)))
+        sent = flag == _DECIDED
+        done_key, done_at = key[sent], at[sent]
+        bits, flag, key, at = (c[~sent] for c in (bits, flag, key, at))
+        order = np.lexsort((at, key, bits))
+        bits, flag, key, at = (c[order] for c in (bits, flag, key, at))
+        first = np.flatnonzero(_firsts(bits))
+        last = np.append(first[1:], len(bits))[: len(first)] - 1
+        apart = (key[first] != key[last]) | (at[first] != at[last])
+        if len(first):
+            apart |= np.maximum.reduceat(flag, first) == _TOLD
+        shared = np.repeat(apart, last - first + 1)
+        return _batch("key at", np.concatenate([done_key, key[shared]]), np.concatenate([done_at, at[shared]]))
+
+    held, last = [], None
+    for batch in batches:
+        for bucket, data in zip(values(batch, "bucket"), values(batch, "anchors")):
+            if held and bucket != last:
+                yield meet(held)
+                held = []
+            held.append(data)
+            last = bucket
+    if held:
+        yield meet(held)
+
+
+def context_span(window: int, seed: int) -> int:
+    """More than the bytes of any context, so that its start and size go into one number."""
+    return 2 * window - seed + 1
+
+
 def _contexts(window: int, seed: int):
-    """The context of each shared anchor with its digest; later copies in a block are decided there."""
+    """The context of each shared anchor with its digest; later copies in a block are decided there.
+
+    A decided row has the place -1 - place and is dealt out at random.
+    """
     reach = window - seed
+    span = context_span(window, seed)
 
     def meet(found):
         r1, r2, anchor, oid, key, start, size = (np.concatenate(c) for c in zip(*found))
@@ -289,7 +365,8 @@ def _contexts(window: int, seed: int):
         head = np.maximum.accumulate(np.where(_firsts(r1, r2), np.arange(len(r1)), 0))
         later = (oid != oid[head]) | (key != key[head]) | (start != start[head])
         route = np.where(later, _scattered(r1 ^ oid, key, start), r1)
-        return _batch("r1 r2 anchor oid key start size done", route, r2, anchor, oid, key, start, size, later)
+        place = start * span + size
+        return _batch("r1 r2 anchor oid key place", route, r2, anchor, oid, key, np.where(later, -1 - place, place))
 
     def run(batches):
         found, n = [], 0
@@ -444,14 +521,11 @@ def repeated_bytes(docs: DataFrame, window: int = WINDOW, seed: int = SEED, with
     # Equal texts: all but the first go whole, and only the first is looked at further.
     classes = written(rows.groupBy("k1", "k2").agg(F.min("oid").alias("first_oid")))
 
-    found = base.select("text").mapInArrow(_anchors(window, seed), "route long, key long, at long")
-    place = F.when(F.col("at") < 0, -1 - F.col("at")).otherwise(F.col("at"))
-    met, own = Window.partitionBy("route"), F.struct("key", place.alias("at"))
-    shared = found.select(
-        "key", place.alias("at"), F.min(own).over(met).alias("low"), F.max(own).over(met).alias("high"),
-        F.min("at").over(met).alias("told"),
-    ).where("low != high or told < 0")
-    by_text = shared.groupBy("key").agg(F.collect_set("at").alias("anchors"))
+    # A bucket is gathered in its task, so there are several for each part of a shuffle.
+    buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = base.select("text").mapInArrow(_anchors(window, seed, buckets), "bucket long, anchors binary")
+    met = found.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_shared, "key long, at long")
+    by_text = met.groupBy("key").agg(F.collect_set("at").alias("anchors"))
     asked = classes.join(by_text, classes.k1 == by_text.key).select(
         F.col("first_oid").alias("oid"), "key", "anchors"
     )
@@ -459,12 +533,13 @@ def repeated_bytes(docs: DataFrame, window: int = WINDOW, seed: int = SEED, with
     near = written(base.drop("doc_id").join(asked, "oid"))
 
     contexts = near.mapInArrow(
-        _contexts(window, seed),
-        "r1 long, r2 long, anchor long, oid long, key long, start long, size long, done boolean",
+        _contexts(window, seed), "r1 long, r2 long, anchor long, oid long, key long, place long"
     )
-    row, same = F.struct("oid", "key", "start"), Window.partitionBy("r1", "r2")
-    judged = written(contexts.withColumn("least", F.min(row).over(same)).select(
-        "anchor", "oid", "key", "start", "size", (F.col("done") | (row > F.col("least"))).alias("later")
+    at, same = F.struct("oid", "key", "place"), Window.partitionBy("r1", "r2")
+    place, span = F.when(F.col("place") < 0, -1 - F.col("place")).otherwise(F.col("place")), context_span(window, seed)
+    judged = written(contexts.withColumn("least", F.min(at).over(same)).select(
+        "anchor", "oid", "key", F.floor(place / span).alias("start"), F.pmod(place, F.lit(span)).alias("size"),
+        ((F.col("place") < 0) | (at > F.col("least"))).alias("later"),
     ))
     left = judged.where("not later")
     crowds = left.groupBy("anchor").count().where("count > 1")
@@ -478,7 +553,7 @@ def repeated_bytes(docs: DataFrame, window: int = WINDOW, seed: int = SEED, with
     sorted_here = pieces.where(f"kind = {_CONTEXT}").repartition("r1").sortWithinPartitions("r1").mapInArrow(
         _sorted_groups(window), "oid long, key long, start long, size long"
     )
-    meeting = Window.partitionBy("r1", "piece")
+    row, meeting = F.struct("oid", "key", "start"), Window.partitionBy("r1", "piece")
     met_again = pieces.where(f"kind = {_OPEN}").withColumn("least", F.min(row).over(meeting)).where(row > F.col("least"))
     run = ("oid", "key", "start", "size")
     runs = judged.where("later").select(*run).unionByName(sorted_here).unionByName(met_again.select(*run))
