@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.llm.shared import values, written
+from linkloom.session import has_at_most
 
 WINDOW = 100
 #: Bytes of an anchor; a window holds WINDOW - SEED + 1 places for one.
@@ -35,8 +36,8 @@ SEED = 64
 MOST_CONTEXTS = 4096
 #: Bytes hashed at once, rows compared and windows sorted at once in a task.
 CHUNK, ROWS, WINDOWS = 1 << 20, 1 << 20, 1 << 18
-#: Buckets of anchors for each partition of a shuffle.
-BUCKETS = 4
+#: Buckets of anchors for each partition of a shuffle, and ids of documents that are broadcast at most.
+BUCKETS, MOST_IDS = 4, 5_000_000
 _LAST = 2**63 - 1  # the place of a null doc_id: after all others
 
 
@@ -529,8 +530,12 @@ def repeated_bytes(docs: DataFrame, window: int = WINDOW, seed: int = SEED, with
     asked = classes.join(by_text, classes.k1 == by_text.key).select(
         F.col("first_oid").alias("oid"), "key", "anchors"
     )
+    asked = written(asked)
+    texts, ids = base.drop("doc_id"), asked.select("oid").distinct()
+    if has_at_most(ids, MOST_IDS):  # other texts then need no shuffle
+        texts = texts.join(F.broadcast(ids), "oid", "left_semi")
     # The texts around shared anchors, written once for the steps that read them.
-    near = written(base.drop("doc_id").join(asked, "oid"))
+    near = written(texts.join(asked, "oid"))
 
     contexts = near.mapInArrow(
         _contexts(window, seed), "r1 long, r2 long, anchor long, oid long, key long, place long"

@@ -94,10 +94,10 @@ def test_edge_rows(spark, window, seed):
     assert run(docs.limit(0), window, seed) == []
 
 
-@pytest.mark.parametrize(("rows", "windows", "most"), [(50, 40, 4096), (1 << 20, 1 << 18, 4096), (50, 40, 2), (1 << 20, 1 << 18, 0)])
-def test_shared_passages(spark, monkeypatch, rows, windows, most):
-    """In small and large blocks, with few and with all anchors sorted in blocks."""
-    for name, value in (("ROWS", rows), ("WINDOWS", windows), ("MOST_CONTEXTS", most)):
+@pytest.mark.parametrize(("rows", "windows", "most", "ids"), [(50, 40, 4096, 9999), (1 << 20, 1 << 18, 4096, 0), (50, 40, 2, 9999), (1 << 20, 1 << 18, 0, 9999)])
+def test_shared_passages(spark, monkeypatch, rows, windows, most, ids):
+    """In small and large blocks, with few and with all anchors sorted in blocks, ids broadcast or not."""
+    for name, value in (("ROWS", rows), ("WINDOWS", windows), ("MOST_CONTEXTS", most), ("MOST_IDS", ids)):
         monkeypatch.setattr(S, name, value)
     rng = random.Random(11)
     line = lambda n: "".join(rng.choices("abcdefgh é", k=n))
