@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from linkloom.functions import strings as S
 from linkloom.functions import urls as U
 from linkloom.functions.arrow import html_unescape
-from linkloom.operators import dedup, links, numbering, seen
+from linkloom.operators import dedup, hosts, links, numbering, seen
 from linkloom.operators.policy import DenyPolicy, policy_table
 from linkloom.session import shared_folder
 
@@ -38,6 +38,35 @@ REASON_SQL = (
     " WHEN length(url) < 42 THEN 'length' END"
 )
 HOSTED_SQL = f"SELECT page_id, url, {HOST_SQL} AS h FROM pages"
+# The suffix is cut off host ``h`` by case; what is left ends with the domain.
+HOST_PARTS_SQL = f"""
+  SELECT page_id, CASE WHEN l LIKE '%.%' THEN regexp_replace(l, '[.][^.]*$', '') ELSE '' END AS subdomain,
+    string_split(l, '.')[-1] AS domain, s AS suffix,
+    CASE WHEN l <> '' AND s <> '' THEN concat(string_split(l, '.')[-1], '.', s) ELSE '' END AS registered_domain
+  FROM (SELECT page_id, s, CASE WHEN s = '' THEN h WHEN h = s THEN '' ELSE left(h, length(h) - length(s) - 1) END AS l
+    FROM (SELECT page_id, h, CASE
+      WHEN h = 'cheap-pills.example.com' OR h LIKE '%.cheap-pills.example.com' THEN 'example.com'
+      WHEN h LIKE '%.example.com' THEN concat(string_split(h, '.')[-3], '.example.com')
+      WHEN h = 'example.net' OR h LIKE '%.example.net' THEN 'example.net'
+      WHEN string_split(h, '.')[-1] IN ('com', 'net', 'org') THEN string_split(h, '.')[-1]
+      ELSE '' END AS s FROM ({HOSTED_SQL})))"""
+# Every tail of every host against every form of a rule.
+HOST_PARTS_LARGE_SQL = f"""
+  WITH r AS (SELECT unnest(['com', 'net', 'org', 'example.net', '*.example.com', '!cheap-pills.example.com']) AS rule
+      UNION SELECT h FROM ({HOSTED_SQL}) WHERE page_id % 3 = 1),
+    t AS (SELECT h, string_split(h, '.') AS w, unnest(range(1, len(string_split(h, '.')) + 1)) AS k
+      FROM (SELECT DISTINCT h FROM ({HOSTED_SQL}))),
+    m AS (SELECT h, max(CASE WHEN r.rule LIKE '!%' THEN k - 1 END) AS x,
+        max(CASE WHEN r.rule NOT LIKE '!%' THEN k END) AS y
+      FROM t JOIN r ON r.rule = array_to_string(w[-k:], '.') OR r.rule = '!' || array_to_string(w[-k:], '.')
+        OR (k > 1 AND r.rule = '*.' || array_to_string(w[len(w) - k + 2:], '.'))
+      GROUP BY h),
+    p AS (SELECT page_id, string_split(h, '.') AS w, coalesce(x, y, 0) AS n
+      FROM ({HOSTED_SQL}) LEFT JOIN m USING (h)),
+    q AS (SELECT page_id, w[:len(w) - n] AS a, array_to_string(w[len(w) - n + 1:], '.') AS suffix FROM p)
+  SELECT page_id, array_to_string(a[:len(a) - 1], '.') AS subdomain, coalesce(a[-1], '') AS domain, suffix,
+    CASE WHEN len(a) > 0 AND suffix <> '' THEN concat(a[-1], '.', suffix) ELSE '' END AS registered_domain
+  FROM q"""
 
 
 def table(spark, d, name) -> DataFrame:
@@ -68,6 +97,26 @@ def deny_large_policy(spark, d):
     return links.deny_domains(urls(spark, d), policy, broadcast_rows=0)
 
 
+# Suffix rules over the test hosts: a plain one below another, a wildcard and an exception to it.
+SUFFIX_RULES = ("com", "net", "org", "example.net", "*.example.com", "!cheap-pills.example.com")
+
+
+def _host_parts(spark, d, rules, **options):
+    parted = hosts.with_host_parts(urls(spark, d), rules, name="p", **options)
+    return parted.select("page_id", "p.subdomain", "p.domain", "p.suffix", "p.registered_domain")
+
+
+def host_parts(spark, d):
+    return _host_parts(spark, d, spark.createDataFrame([(r,) for r in SUFFIX_RULES], "rule string"))
+
+
+def host_parts_large_list(spark, d):
+    """A rule for the host of every third page as well, taken the way that broadcasts nothing."""
+    listed = urls(spark, d).filter("page_id % 3 = 1").select(U.url_host(F.col("url")).alias("rule"))
+    rules = spark.createDataFrame([(r,) for r in SUFFIX_RULES], "rule string").union(listed)
+    return _host_parts(spark, d, rules, broadcast_rows=0)
+
+
 def deny_extensions(spark, d):
     return links.deny_extensions(urls(spark, d), POLICY)
 
@@ -381,6 +430,8 @@ QUERIES = {
            AND NOT (page_id % 5 <> 0 AND page_id % 11 = 0)""",
     ),
     "url_parts": (url_parts, URL_PARTS_SQL),
+    "host_parts": (host_parts, HOST_PARTS_SQL),
+    "host_parts_large_list": (host_parts_large_list, HOST_PARTS_LARGE_SQL),
     "doc_fid": (
         doc_fid, "SELECT page_id, printf('%07d-%s', page_id, md5(url)) AS fid FROM pages"
     ),
