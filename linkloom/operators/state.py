@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from linkloom.functions.strings import is_blank
 from linkloom.operators.numbering import BUCKET_ROWS, assign_chunks, limit_pending
 from linkloom.session import cut_lineage
+from linkloom.sinks.reports import written_with_counts
 
 STATE_SCHEMA = "month string, uid bigint, chunk_id bigint"
 
@@ -47,7 +48,7 @@ def resume(
     size: int = 100,
     rows: int = BUCKET_ROWS,
     max_urls: int = -1,
-) -> None:
+) -> dict[str, int]:
     """One resumable run: pending URLs, chunks, ``process``, then data, then state.
 
     ``process`` maps ``(month, uid, url, chunk_id)`` to the same rows with ``text`` added and,
@@ -56,6 +57,7 @@ def resume(
     run that died in between is repeated into the same folders.  The state is then read off
     the written attempts; nothing is processed twice.  Timed-out URLs stay pending, empty
     results do not.  ``max_urls`` bounds the pending URLs of this run, by ``uid``; -1 is no bound.
+    Returns ``n_attempted``, ``n_timed_out`` and ``n_content`` of this run, counted as it writes.
     """
     spark = urls.sparkSession
     state = read_state(spark, state_path)
@@ -69,19 +71,30 @@ def resume(
         F.when(F.col("timed_out"), "timeout").when(is_blank(F.col("text")), "empty").otherwise("ok")
     )
     attempts = attempts.withColumn("status", status).drop("timed_out")
-    (
-        attempts.repartition("month", "chunk_id")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("month", "chunk_id")
-        .parquet(data_path)
+    counts = {
+        "n_attempted": F.lit(True),
+        "n_timed_out": F.col("status") == "timeout",
+        "n_content": F.col("status") == "ok",
+    }
+    report = written_with_counts(
+        attempts.repartition("month", "chunk_id"), counts, lambda rows: _write_attempts(rows, data_path)
     )
     written = _read_if_any(spark, data_path, attempts.schema)
     if written is None:
-        return
+        return report
     keys = ["month", "uid", "chunk_id"]
     finished = _new_chunks(written, plan).filter("status != 'timeout'").select(*keys)
     finished.join(plan.select(*keys), keys, "left_semi").write.mode("append").parquet(state_path)
+    return report
+
+
+def _write_attempts(rows: DataFrame, path: str) -> None:
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("month", "chunk_id")
+        .parquet(path)
+    )
 
 
 def _new_chunks(written: DataFrame, plan: DataFrame, months: int = 1000) -> DataFrame:

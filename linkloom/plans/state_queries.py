@@ -12,6 +12,7 @@ from linkloom.plans import corpus
 from linkloom.plans.link_queries import table
 from linkloom.plans.page_queries import VISIBLE_SQL, WORDS_SQL
 from linkloom.session import shared_folder
+from linkloom.sinks import reports
 from linkloom.sinks.members import bucketed_pending, extract_bucketed, write_bucketed
 
 MONTH_SQL = "printf('RS_2016-%02d', page_id % 3 + 1)"
@@ -123,6 +124,18 @@ def extract_report(spark, d):
     return stats.extract_report(pages, done, main_text(state.pending_members(pages, done)))
 
 
+def extract_texts(spark, d):
+    """The same report, counted by the job that writes the texts."""
+    months = [f"RS_2016-{n:02d}" for n in (1, 2, 3)]
+    folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    report = reports.extract_texts(members(spark, d), done_members(spark, d), folder, months)
+    counts = "month string, n_total bigint, n_done bigint, n_unparsable bigint, n_written bigint"
+    written = spark.read.parquet(folder).groupBy("month").agg(F.count("*").alias("n"))
+    n = {r.month: r.n for r in written.collect()}
+    rows = [(*r.values(), n.get(r["month"], sum(n.values()))) for r in report]
+    return spark.createDataFrame(rows, counts)
+
+
 def extract_corpus(spark, d):
     return corpus.extract_corpus(members(spark, d), done_members(spark, d)).drop("uid")
 
@@ -265,6 +278,13 @@ QUERIES = {
               count(*) FILTER (NOT done AND text = '') AS n_unparsable
             FROM ({MEMBERS_SQL}) GROUP BY month""",
     ),
+    "extract_texts": (
+        extract_texts,
+        f"""SELECT month, count(*) AS n_total, count(*) FILTER (done) AS n_done,
+              count(*) FILTER (NOT done AND text = '') AS n_unparsable,
+              count(*) FILTER (NOT done AND text <> '') AS n_written
+            FROM ({MEMBERS_SQL}) GROUP BY ROLLUP (month)""",
+    ),
     "extract_corpus": (
         extract_corpus,
         f"""SELECT month, fid, text, {WORDS_SQL} AS word_count FROM ({MEMBERS_SQL})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from linkloom.operators import numbering, packing, stats, tokens as K
 from linkloom.operators.pages import min_paragraph_words
 from linkloom.plans import corpus
 from linkloom.plans.link_queries import table
+from linkloom.session import shared_folder
+from linkloom.sinks import reports
 
 BATCH, LIMIT = 64, 3000
 
@@ -162,6 +166,14 @@ def token_report(spark, d):
     return stats.token_report(lengths(spark, d), 60)
 
 
+def write_encoded(spark, d):
+    """The same report, counted by the job that writes the documents, and the rows that it wrote."""
+    folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    report = reports.write_encoded(lengths(spark, d), folder, 60)
+    found = spark.read.parquet(folder).agg(F.count("*").alias("n_written"), F.sum("n_tokens").alias("n_tokens"))
+    return found.withColumns({name: F.lit(n).cast("bigint") for name, n in report.items()})
+
+
 LENGTHS_SQL = f"""
 SELECT printf('parsed/%07d.txt', doc_id) AS path,
   len(regexp_extract_all(text, {WORD_SQL})) + 1 AS n_tokens FROM documents
@@ -243,6 +255,11 @@ QUERIES = {
         f"""SELECT batch_id, shard_id, count(*) AS n_docs, CAST(sum(n_tokens) AS BIGINT) AS n_tokens
             FROM ({PACKED_SQL}) GROUP BY ALL""",
     ),
+    "write_encoded": (
+        write_encoded,
+        f"""SELECT count(*) FILTER (n_tokens < 60) AS n_omitted, count(*) AS n_total, count(*) AS n_written,
+              CAST(sum(n_tokens) AS BIGINT) AS n_tokens FROM ({LENGTHS_SQL})""",
+    ),
     "token_report": (
         token_report,
         f"""SELECT count(*) FILTER (n_tokens < 60) AS n_omitted, count(*) AS n_total

@@ -119,9 +119,11 @@ def flaky(plan):
 def test_resume_twice_is_run_once(spark, tmp_path):
     paths = str(tmp_path / "state"), str(tmp_path / "data")
     urls = url_frame(spark, 45)
-    state.resume(urls.filter("uid < 25"), *paths, fetched, size=10, rows=20)
-    state.resume(urls, *paths, fetched, size=10, rows=20)
+    first = state.resume(urls.filter("uid < 25"), *paths, fetched, size=10, rows=20)
+    assert first == {"n_attempted": 25, "n_timed_out": 0, "n_content": 22}
     state.resume(urls, *paths, fetched, size=10, rows=20)
+    last = state.resume(urls, *paths, fetched, size=10, rows=20)
+    assert last == {"n_attempted": 0, "n_timed_out": 0, "n_content": 0}
     data, done = spark.read.parquet(paths[1]), state.read_state(spark, paths[0])
     assert sorted(r.uid for r in data.collect()) == list(range(45))
     assert sorted(r.uid for r in done.collect()) == list(range(45))
