@@ -68,6 +68,17 @@ def html_unescape(text: Column) -> Column:
     )
 
 
+def text_of_nested(html: Column) -> Column:
+    """Text of pages with nested boilerplate blocks, by counting tags; nulls stay null."""
+
+    def text(value):
+        from linkloom.functions.html import text_of_nested as f
+
+        return f(value)
+
+    return _string_udf(text)(html)
+
+
 def nfkd(text: Column) -> Column:
     """NFKD normalization; pure ASCII is its own normal form and stays in the JVM."""
 

@@ -7,6 +7,10 @@ Without the possessive marks the tag patterns are plain RE2, for the SQL checks.
 
 from __future__ import annotations
 
+import re
+from functools import lru_cache
+from html import unescape
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -113,10 +117,58 @@ def join_paragraphs(paragraphs: Column) -> Column:
     return F.array_join(F.transform(paragraphs, lambda x: x["text"]), " ")
 
 
-def body_lines(html: Column) -> Column:
-    """Escaped text of a page: boilerplate blocks dropped, block tags to newlines, tags dropped."""
-    body = F.regexp_replace(html, block_pattern(("script", "style", *BOILERPLATE_TAGS)), "\n")
-    lines = F.regexp_replace(body, tag_pattern((*BLOCK_TAGS, "br")), "\n")
+def has_nested_blocks(opened: Column) -> Column:
+    """Whether ``without_blocks`` left a closing tag of a boilerplate block.
+
+    It ends a block at the first closing tag of its kind, so what nested blocks, or tags in comments and
+    scripts, have it end too early leaves that of the block itself.
+    """
+    return F.coalesce(opened.rlike(rf"(?i)</(?:{'|'.join(BOILERPLATE_TAGS)})\s*>"), F.lit(False))
+
+
+def without_nested_blocks(html: str) -> str:
+    """A page with each boilerplate block, comment, script and style replaced by a newline.
+
+    A block ends with the closing tag at which the tags of its kind balance; those in comments, scripts and
+    styles do not count, and a block whose tags never balance runs to the end.  One pass over the tags.
+    """
+    kept, at, kind, depth = [], 0, None, 0
+    for found in _block_tags().finditer(html):
+        opened, closed = found["open"], found["close"]
+        if kind is None and not closed:
+            kept.append(html[at : found.start()])
+            at = found.end()
+            if opened:
+                kind, depth = opened.lower(), 1
+        elif kind and kind == (opened or closed or "").lower():
+            depth += 1 if opened else -1
+            if not depth:
+                at, kind = found.end(), None
+    return "\n".join([*kept, html[at:] if kind is None else ""])
+
+
+@lru_cache(maxsize=1)
+def _block_tags() -> re.Pattern:
+    names = "|".join(BOILERPLATE_TAGS)
+    raw = rf"<(?P<raw>script|style)(?:\s{ATTRIBUTES})?>.*?(?:</(?P=raw)\s*>|\Z)"
+    tags = rf"<(?P<open>{names})(?:\s{ATTRIBUTES})?>|</(?P<close>{names})\s*>"
+    return re.compile(rf"<!--.*?(?:-->|\Z)|{raw}|{tags}", re.I | re.S | re.A)
+
+
+def text_of_nested(html: str) -> str:
+    """What ``body_lines`` makes of a page, with nested blocks dropped whole, and unescaped."""
+    lines = re.sub(tag_pattern((*BLOCK_TAGS, "br")), "\n", without_nested_blocks(html), flags=re.A)
+    return unescape(re.sub(ANY_TAG, "", lines, flags=re.A))
+
+
+def without_blocks(html: Column) -> Column:
+    """A page with boilerplate, scripts, styles and comments made newlines."""
+    return F.regexp_replace(html, block_pattern(("script", "style", *BOILERPLATE_TAGS)), "\n")
+
+
+def body_lines(opened: Column) -> Column:
+    """Escaped text of a page without boilerplate: block tags to newlines, other tags dropped."""
+    lines = F.regexp_replace(opened, tag_pattern((*BLOCK_TAGS, "br")), "\n")
     return F.regexp_replace(lines, ANY_TAG, "")
 
 

@@ -6,11 +6,11 @@ turned into text before anything is shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions import html as H
-from linkloom.functions.arrow import html_unescape, plain_texts
+from linkloom.functions.arrow import html_unescape, plain_texts, text_of_nested
 from linkloom.functions.strings import is_blank, space_pieces, word_count
 
 
@@ -66,12 +66,26 @@ def paragraph_text(pages: DataFrame, html: str = "html") -> DataFrame:
     )
 
 
+def _with_body(pages: DataFrame, html: str) -> DataFrame:
+    """Add ``_body``, the escaped text without boilerplate; null with ``_nested`` for pages that have
+    blocks in blocks of their kind, which a helper reads that counts tags."""
+    opened = pages.withColumn("_opened", H.without_blocks(F.col(html)))
+    nested = opened.withColumn("_nested", H.has_nested_blocks(F.col("_opened")))
+    body = F.when(~F.col("_nested"), H.body_lines(F.col("_opened")))
+    return nested.withColumn("_body", body).drop("_opened")
+
+
+def _plain(html: str, body: Column) -> Column:
+    """Unescaped text of a page: of ``body``, or of the nested page itself."""
+    return F.coalesce(text_of_nested(F.when(F.col("_nested"), F.col(html))), html_unescape(body))
+
+
 def with_visible_text(pages: DataFrame, html: str = "html", name: str = "text") -> DataFrame:
     """Add the main text by a stated rule: no scripts, boilerplate blocks or tags, entities
     unescaped; blocks become lines that are parted by an empty line."""
-    body = pages.withColumn("_body", H.body_lines(F.col(html)))
-    plain = body.withColumn("_plain", html_unescape(F.col("_body")))
-    return plain.withColumn(name, H.squeezed(F.col("_plain"))).drop("_body", "_plain")
+    body = _with_body(pages, html)
+    plain = body.withColumn("_plain", _plain(html, F.col("_body")))
+    return plain.withColumn(name, H.squeezed(F.col("_plain"))).drop("_nested", "_body", "_plain")
 
 
 def main_text(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -86,11 +100,11 @@ def clean_html(pages: DataFrame, html: str = "html", keep: bool = False) -> Data
     With ``keep`` the other pages stay, with a null text.
     """
     rest = [c for c in pages.columns if c != html]
-    tagless = pages.withColumn("_body", H.body_lines(F.col(html)))
+    tagless = _with_body(pages, html)
     # A character that no entity can hold settles it; otherwise entities are looked into.
     sure = F.coalesce(F.col("_body").rlike(H.SURELY_VISIBLE), F.lit(False))
     looked = tagless.withColumn("_sure", sure).withColumn(
-        "_plain", html_unescape(F.when(~F.col("_sure"), F.col("_body")))
+        "_plain", _plain(html, F.when(~F.col("_sure"), F.col("_body")))
     )
     visible, text = F.col("_sure") | ~is_blank(F.col("_plain")), H.cleaned_html(F.col(html))
     found = looked if keep else looked.filter(visible)

@@ -3,6 +3,7 @@
 import html
 import random
 import re
+import time
 import unicodedata
 
 import pytest
@@ -137,8 +138,6 @@ def test_greedy_links_equal_the_plain_pattern(spark):
 
 
 def test_links_of_a_minified_page_take_one_pass(spark):
-    import time
-
     for bit in ('<a href="/some/page" class=x><b>with text</b></a> ', "<a href='/p'>a b</a>", "<a class=q>z</a> "):
         df = page(spark, bit * (1_000_000 // len(bit)))
         start = time.time()
@@ -163,11 +162,46 @@ def test_modes(spark):
     ["<p class=", "<a ", "<p a=\"", "<p a='\"", "&", " \n", "<!--", "<script>", "<b>", "<p>", "</p ", "= ", "<p =\"\">"],
 )
 def test_hostile_pages_take_one_pass(spark, bits):
-    import time
-
     df = page(spark, bits * 40_000 + "<p>" + "x " * 1000)
     start = time.time()
     for run in (P.main_text, P.paragraph_text, P.clean_html):
         run(df).collect()
     P.page_links(df, H.EACH_LINK).collect()
     assert time.time() - start < 30
+
+
+NESTED = [
+    ("a<nav>b<nav>c</nav>d</nav>e", "a\n\ne"),
+    ("a<NAV x='<nav>'>b<nav>c</nav >d</Nav>e<nav>f</nav>g", "a\n\ne\n\ng"),
+    ("a<aside>b<nav>c<aside>d</aside></nav>e</aside>f", "a\n\nf"),
+    ("a<nav>b<script>'</nav>'</script>c</nav>d", "a\n\nd"),
+    ("a<nav>b<!-- </nav> -->c</nav>d&eacute;<b>x</b><br>y", "a\n\ndéx\n\ny"),
+    ("a<header>b<head>c</header>d</head>e", "a\n\nde"),
+    ("a<nav>b</nav>c</nav>d", "a\n\nc\n\nd"),
+    ("a</nav>b<nav>c<nav>d</nav>e", "a\n\nb"),
+    ("a<!-- <nav> -->b</nav><navy>c</navy>", "a\n\nb\n\nc"),
+    ("<nav><nav>a</nav></nav>", ""),
+    ("a<div>b<div>c</div>d</div>e", "a\n\nb\n\nc\n\nd\n\ne"),
+]
+
+
+def test_nested_blocks_go_whole(spark):
+    rows = [(i, html) for i, (html, _) in enumerate(NESTED)] + [(-1, None)]
+    df = spark.createDataFrame(rows, "i int, html string").repartition(3)
+    got = {r.i: r.text for r in P.main_text(df).collect()}
+    assert [got[i] for i in range(len(NESTED))] == [text for _, text in NESTED]
+    assert got[-1] is None
+    # A page of nothing but nested blocks has no main text, so the raw mode drops it.
+    assert {r.i for r in P.clean_html(df).collect()} == {i for i, t in got.items() if t}
+
+
+@pytest.mark.parametrize("bits", [("<nav>", "</nav>"), ("<nav>", ""), ("", "</nav>"), ("<nav><aside>", "</aside></nav>")])
+def test_deep_blocks_take_one_pass(spark, bits):
+    n = 100_000
+    html = f"a{bits[0] * n}b{bits[1] * n}c</nav>"
+    start = time.time()
+    df = spark.createDataFrame([(html,)], "html string")
+    (row,) = P.main_text(df).collect()
+    assert time.time() - start < 20
+    want = {"<nav></nav>": "a\n\nc", "<nav>": "a", "</nav>": "ab\n\nc", "<nav><aside></aside></nav>": "a\n\nc"}
+    assert row.text == want["".join(bits)]
