@@ -1,7 +1,8 @@
 """Document quality by a byte-level convolutional network, in numpy.
 
 The UTF-8 bytes of a text are embedded and cut into chunks that overlap by a window, so that all chunks
-together see every window of the whole document.  Filters of eight bytes, four apart, are learned; each
+together see every window of the whole document.  Windows are eight bytes long and start at multiples of
+four: every byte is seen, but not at every offset.  Filters of a window's length are learned; each
 filter's largest response over all chunks is taken, and a logistic layer combines these into one
 probability.  Training touches, for each document and filter, the window of the largest response only.
 """
